@@ -8,8 +8,8 @@ ORACLES: dict[str, str] = {}
 
 
 def half_up(value: str, digits: int) -> str:
-    """Decimal rounding, away from zero at halves."""
-    return f"round(({value})::DECIMAL(38,12), {digits})::DOUBLE"
+    """Round the shortest decimal form of a double, away from zero at halves."""
+    return f"round(({value})::DOUBLE::VARCHAR::DECIMAL(38,17), {digits})::DOUBLE"
 
 
 LISTED = "(" + ", ".join(f"'{k}'" for k in STAT_KEYS) + ")"
@@ -69,11 +69,11 @@ PARTS: dict[str, tuple[str, str]] = {
             SELECT y, 2, r, row_number() OVER (PARTITION BY y ORDER BY m DESC, pts, r) FROM tw
         ) WHERE k = 1"""),
     "finish": ("reg", """
-        SELECT *, row_number() OVER (PARTITION BY season ORDER BY wins DESC, points_for DESC, user_id NULLS FIRST)::INTEGER AS reg_rank
+        SELECT *, row_number() OVER (PARTITION BY season ORDER BY wins DESC NULLS LAST, points_for DESC NULLS LAST, user_id NULLS FIRST)::INTEGER AS reg_rank
         FROM (
             SELECT season, user_id,
-                   (count(*) FILTER (h2h_result = 'W') + count(*) FILTER (median_result = 'W'))::BIGINT AS wins,
-                   (count(*) FILTER (h2h_result = 'L') + count(*) FILTER (median_result = 'L'))::BIGINT AS losses,
+                   (sum((h2h_result = 'W')::INTEGER) + sum((median_result = 'W')::INTEGER))::BIGINT AS wins,
+                   (sum((h2h_result = 'L')::INTEGER) + sum((median_result = 'L')::INTEGER))::BIGINT AS losses,
                    sum(points)::DOUBLE AS points_for
             FROM reg GROUP BY season, user_id
         )"""),

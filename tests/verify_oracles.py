@@ -6,6 +6,7 @@ import math
 import pathlib
 import sys
 import time
+from collections import Counter
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
@@ -40,8 +41,11 @@ def compare(df, con, statement: str) -> str | None:
     actual = sorted([plain(row[c]) for c in columns] for row in df.collect())
     if len(actual) != len(expected):
         return f"{len(actual)} rows vs {len(expected)}"
-    different = [(a, e) for a, e in zip(actual, expected) if a != e]
-    return f"{len(different)} of {len(actual)} rows differ, e.g. {different[0]}" if different else None
+    if actual == expected:
+        return None
+    ours, other = Counter(map(tuple, actual)), Counter(map(tuple, expected))
+    extra, missing = list(ours - other), list(other - ours)
+    return f"{columns}: {len(extra)} rows of ours, e.g. {extra[:2]}; {len(missing)} expected, e.g. {missing[:2]}"
 
 
 def main() -> int:
