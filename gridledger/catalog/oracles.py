@@ -458,3 +458,7 @@ oracle("manifest", "tw tx pick tally", """
            coalesce(sum(n) FILTER (e = 'p'), 0)::INTEGER AS draft_picks,
            (count(*) FILTER (e = 's'))::INTEGER AS stat_weeks
     FROM f GROUP BY season""")
+
+oracle("stream_append", "", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+ORACLES["stream_scd1"] = ORACLES["scd1_latest"]
+ORACLES["stream_scd2"] = ORACLES["scd2_history"]

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from gridledger.functions import parsing, rules
 from gridledger.operators import cdc, chain, quality
 from gridledger.operators.ranking import medians
-from gridledger.operators.session import durable, tune
+from gridledger.operators.session import durable, tune, workspace
 from gridledger.plans import checks, gold, publish, scenario, silver
 from gridledger.sources.driver_tables import LeagueTables
 from gridledger.sources.landing import build_manifest
+from gridledger.streaming import cdc as stream_cdc
+from gridledger.streaming.ingest import append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,10 +31,17 @@ SCENARIOS = {
 class League(LeagueTables):
     """The bronze inputs plus the shared datasets over them.
 
-    Team-weeks are read several times by every plan over them, so their bronze rows are materialized
-    once per query, as a bronze table would be.
+    The small tables every plan reads several times (the range of seasons, the bronze team-weeks, the
+    matchup fact) are materialized once per query, as a pipeline run would write them.
     """
 
+    @cached_property
+    def _range(self) -> DataFrame:
+        return durable(super()._season_range())
+
+    def _season_range(self) -> DataFrame:
+        return self._range
+
     @cached_property
     def _matchups(self) -> DataFrame:
         return durable(super().matchups())
@@ -49,8 +58,12 @@ class League(LeagueTables):
     def managers(self) -> DataFrame:
         return silver.dim_manager(self.users())
 
+    @cached_property
+    def _fact(self) -> DataFrame:
+        return durable(silver.fact_matchup(self.matchups(), self.rosters(), self.league()))
+
     def fact(self) -> DataFrame:
-        return silver.fact_matchup(self.matchups(), self.rosters(), self.league())
+        return self._fact
 
     def players(self) -> DataFrame:
         return silver.dim_player(self.players_raw())
@@ -73,6 +86,11 @@ class League(LeagueTables):
     def events(self) -> DataFrame:
         return self.table("events")
 
+    def event_stream(self) -> DataFrame:
+        """The events as a file stream. A stream needs a folder or a pattern, so the name is one."""
+        reader = self.spark.readStream.schema(self.events().schema)
+        return reader.parquet(f"{self.folder}/event[s].parquet")
+
     def gold_settings(self) -> DataFrame:
         """Published settings with one season missing and one empty, so that the fallback is used."""
         published = scenario.scoring_settings(self.league()).filter("season <> '1997'")
@@ -464,7 +482,7 @@ def check_unique_player(t: League) -> DataFrame:
 @query
 def reconcile_report(t: League) -> DataFrame:
     """All verdicts, and the count of regular team-weeks without any unit."""
-    fact, slots = durable(t.fact()), durable(t.roster_slots())
+    fact, slots = t.fact(), durable(t.roster_slots())
     units = scenario.unit_stats(t.stats(), slots)
     tables = {
         "fact_matchup": fact,
@@ -508,3 +526,30 @@ def publish_season_payload(t: League) -> DataFrame:
         t.managers(),
         "2001",
     )
+
+
+# -- streams: drained once into the shared folder, then read back --------------------------------
+
+
+@query
+def stream_append(t: League) -> DataFrame:
+    out = workspace(t.spark)
+    append_stream(t.event_stream(), f"{out}/rows", f"{out}/stream")
+    return t.spark.read.schema(t.events().schema).parquet(f"{out}/rows")
+
+
+@query
+def stream_scd1(t: League) -> DataFrame:
+    out = workspace(t.spark)
+    changes = t.event_stream().select("user_id", "ts", "event_type", "value")
+    stream_cdc.scd1_stream(changes, f"{out}/state", f"{out}/stream", ["user_id"], ["ts"])
+    return stream_cdc.read_scd1(t.spark, f"{out}/state", changes.schema)
+
+
+@query
+def stream_scd2(t: League) -> DataFrame:
+    out = workspace(t.spark)
+    changes = t.event_stream()
+    how = (["user_id"], "ts", ["event_type"])
+    stream_cdc.scd2_stream(changes, out, f"{out}/stream", *how)
+    return stream_cdc.read_scd2(t.spark, out, changes.schema, *how)

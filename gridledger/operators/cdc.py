@@ -44,12 +44,12 @@ def scd2(
     the sequence; values cross a cut through a table with one row per slice.
     """
     keys, tracked = list(keys), list(tracked)
+    sliced = has_hot(changes, keys, hot_rows)
     one_per_step = scd1(
         changes.select(*dict.fromkeys([*keys, sequence, *tracked, *tiebreak])),
         [*keys, sequence],
         [*tiebreak, *tracked],
     ).select(*keys, F.col(sequence).alias("_seq"), F.struct(*tracked).alias("_now"))
-    sliced = has_hot(one_per_step, keys, hot_rows)
     if sliced:
         rows = with_slices(one_per_step, keys, F.col("_seq"), hot_rows)
     else:

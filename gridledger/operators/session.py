@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,17 +27,26 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints; a temporary one only where it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="gridledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="gridledger-")
+
+
+def workspace(spark: SparkSession) -> str:
+    """A new folder for one run under the shared folder."""
+    return f"{shared_folder(spark)}/gridledger/{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and read them from there: computed once, and not lost
-    with an executor."""
+    """Write the rows as a table in the shared folder and read them from there.
+
+    They are computed once, are not lost with an executor, and come back with their size known and
+    their columns prunable.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = workspace(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -34,6 +34,7 @@ def _bronze() -> list[Dataset]:
     return made
 
 
+# In order: inputs come before the datasets built from them, and a gate before what relies on it.
 DATASETS: list[Dataset] = [
     *_bronze(),
     Dataset("dim_season", "silver", "One season: settings and playoff structure", ("season",),
@@ -78,6 +79,10 @@ DATASETS: list[Dataset] = [
             ("season", "week", "roster_id"),
             lambda t: scenario.unit_stats(
                 scenario.player_stats(t["bronze_player_stats"]), t["fact_roster_slot"])),
+    Dataset("dq_one_def_per_team_week", "gold", "Gate: one started unit per team-week",
+            ("season", "week", "roster_id"),
+            lambda t: group_counts(t["silver_def_stats"], ["season", "week", "roster_id"]),
+            {"fail": scenario.ONE_UNIT_RULES}),
     Dataset("gold_luck_adjusted_standings", "gold", "Actual against expected wins",
             ("season", "display_name"),
             lambda t: gold.luck_standings(t["fact_matchup"], t["dim_manager"])),
@@ -103,10 +108,6 @@ DATASETS: list[Dataset] = [
             lambda t: scenario.unit_season_stats(scenario.player_stats(t["bronze_player_stats"]))),
     Dataset("gold_scoring_settings", "gold", "Scoring settings of a season", ("season",),
             lambda t: scenario.scoring_settings(t["bronze_league"])),
-    Dataset("dq_one_def_per_team_week", "gold", "Gate: one started unit per team-week",
-            ("season", "week", "roster_id"),
-            lambda t: group_counts(t["silver_def_stats"], ["season", "week", "roster_id"]),
-            {"fail": scenario.ONE_UNIT_RULES}),
 ]
 
 BY_NAME: dict[str, Dataset] = {d.name: d for d in DATASETS}

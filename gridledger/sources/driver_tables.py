@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridledger.functions.parsing import week_from_path
+
 TEAMS = 25
 PLAYOFF_START = 10
 PLAYOFF_TEAMS = 6
@@ -39,9 +41,12 @@ class LeagueTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- season grain ---------------------------------------------------------------------------
 
@@ -132,8 +137,6 @@ class LeagueTables:
 
     def winners_bracket(self) -> DataFrame:
         """Node 1 is won by the best team of a season's last week, node 2 by the worst."""
-        from gridledger.functions.parsing import week_from_path
-
         week = week_from_path(F.col("_source_file"))
         best = F.max(F.struct(week, F.col("points"), -F.col("roster_id"), "roster_id"))
         worst = F.max(F.struct(week, -F.col("points"), -F.col("roster_id"), "roster_id"))
@@ -153,40 +156,41 @@ class LeagueTables:
 
     # -- player grain ---------------------------------------------------------------------------
 
-    def _rostered(self) -> DataFrame:
-        """Quantity per season, week, team and part."""
+    def _slots(self) -> DataFrame:
+        """Rostered parts, and part types as team units: points, starter flag and document number.
+
+        Both grains come from one pass over the joined lines.
+        """
         lines = self.table("lineitem").select(
-            F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("part"), "l_quantity"
+            F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_quantity"
         )
-        return (
-            lines.join(self._orders(), "o_orderkey").join(self._customers(), "o_custkey")
-            .groupBy("season", "week", "roster_id", "part").agg(F.sum("l_quantity").alias("points"))
+        types = self.table("part").select("p_partkey", "p_type")
+        team = ["season", "week", "roster_id"]
+        no_part, no_type = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+        grains = F.array(
+            F.struct(F.col("p_partkey").alias("part"), no_type.alias("type")),
+            F.struct(no_part.alias("part"), F.col("p_type").alias("type")),
         )
-
-    def _slots(self) -> DataFrame:
-        """Rostered parts, and the part types as team units, with starter flag and document number."""
-        rostered = self._rostered()
-        part = F.col("part")
-        people = rostered.select(
-            "season", "week", "roster_id",
-            _text(part).alias("player_id"),
-            F.when((part + F.col("roster_id")) % 13 != 0, F.col("points")).alias("points"),
-            ((part + F.col("week")) % 3 != 0).alias("is_starter"),
-            F.floor(part / SLOT_SPAN).alias("document"),
+        totals = (
+            lines.join(self._orders(), "o_orderkey")
+            .join(self._customers(), "o_custkey")
+            .join(types, "p_partkey")
+            .select(*team, "l_quantity", F.inline(grains))
+            .groupBy(*team, "part", "type").agg(F.sum("l_quantity").alias("quantity"))
         )
-        types = self.table("part").select(F.col("p_partkey").alias("part"), "p_type")
-        position = F.array_position(F.array(*[F.lit(u) for u in UNITS]), F.col("p_type"))
-        turn = (F.col("week") + F.col("roster_id")) % len(UNITS) + 1
-        units = (
-            rostered.join(types, "part")
-            .groupBy("season", "week", "roster_id", "p_type").agg(F.sum("points").alias("points"))
-            .select(
-                "season", "week", "roster_id", F.col("p_type").alias("player_id"), "points",
-                (position == turn).alias("is_starter"),
-                (-1 - F.crc32("p_type") % SLOT_SPAN).alias("document"),
-            )
+        part, unit = F.col("part"), F.col("type")
+        week, roster = F.col("week"), F.col("roster_id")
+        position = F.array_position(F.array(*[F.lit(u) for u in UNITS]), unit)
+        turn = (week + roster) % len(UNITS) + 1
+        is_person = part.isNotNull()
+        return totals.select(
+            *team,
+            F.coalesce(_text(part), unit).alias("player_id"),
+            F.when(unit.isNotNull() | ((part + roster) % 13 != 0), F.col("quantity")).alias("points"),
+            F.when(is_person, (part + week) % 3 != 0).otherwise(position == turn).alias("is_starter"),
+            F.when(is_person, F.floor(part / SLOT_SPAN))
+            .otherwise(-1 - F.crc32("type") % SLOT_SPAN).alias("document"),
         )
-        return people.unionByName(units)
 
     def roster_slots(self) -> DataFrame:
         """Slots with their owner, flat."""

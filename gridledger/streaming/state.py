@@ -1,0 +1,71 @@
+"""Keyed state kept by a stream as plain Parquet.
+
+    <path>/rows/batch=<id>/bucket=<b>/   rows of the buckets a micro-batch has rewritten
+    <path>/commits/batch=<id>/           those buckets, written last
+
+The state is, for each bucket, the rows of its newest committed batch. Rows without a commit are
+never read, so a batch that dies half-way leaves no trace; a batch that is run again after its commit
+is skipped. A batch rewrites the buckets its keys fall into and no others.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+BUCKETS = 64
+
+
+def read_if_there(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The Parquet rows under the path; none when nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def in_buckets(df: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of the given buckets. There are at most as many buckets as the table was made with, so
+    their list can be broadcast; it prunes the folders that are read."""
+    return df.join(F.broadcast(touched), "bucket", "left_semi")
+
+
+class BucketedState:
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.spark = spark
+        self.path = path
+        self.columns = schema.fieldNames()
+        self.schema = StructType([*schema]).add("batch", "long").add("bucket", "integer")
+
+    def _commits(self) -> DataFrame:
+        return read_if_there(self.spark, f"{self.path}/commits", "bucket int, batch bigint")
+
+    def has(self, batch_id: int) -> bool:
+        return not self._commits().filter(F.col("batch") == batch_id).isEmpty()
+
+    def rows(self) -> DataFrame:
+        """The current rows with their bucket."""
+        newest = self._commits().groupBy("bucket").agg(F.max("batch").alias("batch"))
+        rows = read_if_there(self.spark, f"{self.path}/rows", self.schema)
+        return rows.join(F.broadcast(newest), ["bucket", "batch"], "left_semi").drop("batch")
+
+    def current(self) -> DataFrame:
+        return self.rows().select(*self.columns)
+
+    def replace(self, rows: DataFrame, touched: DataFrame, batch_id: int) -> None:
+        """Publish new rows for the touched buckets."""
+        (
+            rows.select(*self.columns, "bucket").hint("rebalance", "bucket")
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/batch={batch_id}")
+        )
+        touched.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
