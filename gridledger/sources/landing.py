@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridledger.functions.parsing import season_from_path
 from gridledger.schemas import MANIFEST
 
-COUNTS = ("files", "matchup_weeks", "transaction_weeks", "transactions", "draft_picks", "stat_weeks")
-
-
 def build_manifest(bronze: dict[str, DataFrame]) -> DataFrame:
     """Per season: files, weeks with matchups, weeks with transactions, transactions, picks, stat weeks.
 
@@ -42,8 +42,17 @@ def build_manifest(bronze: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    documents = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
-    return documents.select(F.inline("seasons"))
+    """Rows of a manifest document, one per season.
+
+    Spark's file sources skip names that begin with an underscore, and the manifest's does. It holds
+    one line per season, so it is opened here and handed over as one value.
+    """
+    uri = path if "://" in path else Path(path).absolute().as_uri()
+    filesystem, name = FileSystem.from_uri(uri)
+    with filesystem.open_input_stream(name) as stream:
+        text = stream.read().decode("utf-8")
+    document = spark.createDataFrame([(text,)], "text string")
+    return document.select(F.inline(F.from_json("text", MANIFEST)["seasons"]))
 
 
 def landing_check(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:

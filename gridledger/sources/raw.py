@@ -47,7 +47,7 @@ def read_blobs(
     files = reader.format("binaryFile").schema(BINARY_FILE).load(glob)
     ingested = F.col("modificationTime") if snapshot else F.current_timestamp()
     return files.select(
-        F.decode("content", F.lit("utf-8")).alias(text),
+        F.decode("content", "utf-8").alias(text),
         season_from_path(F.col("path")).alias("season"),
         week_from_path(F.col("path")).alias("week"),
         F.lit(text.removesuffix("_json")).alias("_key"),
