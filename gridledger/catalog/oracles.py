@@ -462,3 +462,46 @@ oracle("manifest", "tw tx pick tally", """
 oracle("stream_append", "", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 ORACLES["stream_scd1"] = ORACLES["scd1_latest"]
 ORACLES["stream_scd2"] = ORACLES["scd2_history"]
+
+oracle("scoring_settings", "years", """
+    SELECT y::VARCHAR AS season,
+           json_object('sack', 1.0::DOUBLE, 'int', 2.0::DOUBLE, 'ff', CASE WHEN y % 2 = 0 THEN 1.5::DOUBLE END,
+                       'pts_allow', ((y - 2000) * 0.25)::DOUBLE, 'safe', NULL, 'off_snp', 4.0::DOUBLE)::VARCHAR
+               AS scoring_json,
+           10::INTEGER AS playoff_week_start
+    FROM years""")
+
+
+def entries(key: str, value: str) -> str:
+    """A JSON object of grouped rows, keys in order."""
+    return f"('{{' || string_agg('\"' || {key} || '\":' || coalesce(to_json({value})::VARCHAR, 'null'), ',' ORDER BY {key}) || '}}')"
+
+
+oracle("publish_season_payload", "fixed setting season_stat stat bracket mgr", f"""
+    , settings AS (
+        SELECT season, {entries('stat', 'weight')} AS doc FROM setting
+        WHERE stat IN {LISTED} AND weight IS NOT NULL GROUP BY season
+    ),
+    lines AS (
+        SELECT season, w, player_id, {entries('k', 'v')} AS doc FROM stat WHERE k IN {LISTED} GROUP BY ALL
+    ),
+    champion AS (
+        SELECT season, 'u' || w AS user_id FROM bracket WHERE p = 1 AND w % 11 <> 7
+    ),
+    scope AS (SELECT DISTINCT season FROM fixed)
+    SELECT season, 'season' AS section, NULL::INTEGER AS week, NULL AS item,
+           json_object('playoff_week_start', 10, 'actual_champion', display_name,
+                       'def_settings_current', doc::JSON)::VARCHAR AS doc
+    FROM scope JOIN settings USING (season) LEFT JOIN champion USING (season) LEFT JOIN mgr USING (user_id)
+    UNION ALL
+    SELECT f.season, 'team_week', f.w, f.roster_id::VARCHAR,
+           json_object('week', f.w, 'user_id', user_id, 'matchup_id', matchup_id, 'actual', actual_points,
+                       'non_def', non_def_points, 'def_id', def_id,
+                       'def_stats', coalesce(doc, '{{}}')::JSON, 'reg', is_regular)::VARCHAR
+    FROM fixed f LEFT JOIN lines l ON l.season = f.season AND l.w = f.w AND l.player_id = f.def_id
+    UNION ALL
+    SELECT season, 'defense', NULL, def_id, {entries('k', 'total')} FROM season_stat GROUP BY season, def_id
+    UNION ALL
+    SELECT NULL, 'manager', NULL, user_id, json_object('display_name', display_name)::VARCHAR FROM mgr
+    UNION ALL
+    SELECT NULL, 'def_settings_proposed', NULL, season, doc FROM settings WHERE season = '2001'""")

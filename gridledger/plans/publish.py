@@ -19,6 +19,11 @@ def _json(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+def _by_key(entries: Column | str) -> Column:
+    """The map with its keys in order, so that equal maps give equal documents."""
+    return F.map_from_entries(F.array_sort(F.map_entries(entries)))
+
+
 def season_headers(
     inputs: DataFrame, settings: DataFrame, champions: DataFrame, managers: DataFrame
 ) -> DataFrame:
@@ -33,7 +38,7 @@ def season_headers(
             "season",
             "playoff_week_start",
             F.coalesce("display_name", "owner_id").alias("actual_champion"),
-            unit_weights(F.col("scoring")).alias("def_settings_current"),
+            _by_key(unit_weights(F.col("scoring"))).alias("def_settings_current"),
         )
     )
 
@@ -61,7 +66,7 @@ def publish_payload(
         F.col("week"), F.col("user_id"), F.col("matchup_id"),
         F.col("actual_points").alias("actual"), F.col("non_def_points").alias("non_def"),
         F.col("def_id"),
-        F.coalesce(shown, F.create_map().cast("map<string,double>")).alias("def_stats"),
+        F.coalesce(_by_key(shown), F.create_map().cast("map<string,double>")).alias("def_stats"),
         F.coalesce("is_regular", F.lit(False)).alias("reg"),
     )
     header = _json(*[F.col(c) for c in headers.columns if c != "season"])
@@ -72,10 +77,10 @@ def publish_payload(
     parts = [
         rows(headers, "season", F.col("season"), none, none, header),
         rows(inputs, "team_week", F.col("season"), F.col("week"), F.col("roster_id"), team_week),
-        rows(units, "defense", F.col("season"), none, F.col("def_id"), F.to_json("stats")),
+        rows(units, "defense", F.col("season"), none, F.col("def_id"), F.to_json(_by_key("stats"))),
         rows(current(managers), "manager", none, none, F.col("user_id"), _json(F.col("display_name"))),
         rows(proposed, "def_settings_proposed", none, none, F.col("season"),
-             F.to_json(unit_weights(F.col("scoring")))),
+             F.to_json(_by_key(unit_weights(F.col("scoring"))))),
     ]
     payload = parts[0]
     for part in parts[1:]:
