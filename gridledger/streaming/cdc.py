@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from gridledger.operators.cdc import scd1, scd2
-from gridledger.streaming.state import BUCKETS, BucketedState, in_buckets, read_if_there, with_bucket
+from gridledger.streaming.state import BUCKETS, BucketedState, buckets_of, read_if_there, with_bucket
 
 
 def run_available(stream: DataFrame, checkpoint: str, fold) -> StreamingQuery:
@@ -40,17 +40,17 @@ def scd1_stream(
         state = BucketedState(batch.sparkSession, path, schema)
         if state.has(batch_id):
             return
-        changes = with_bucket(batch, keys, buckets).persist()
-        touched = changes.select("bucket").distinct()
-        merged = in_buckets(state.rows(), touched).unionByName(changes)
-        state.replace(scd1(merged, keys, sequence), touched, batch_id)
+        changes = batch.persist()
+        touched = buckets_of(with_bucket(changes, keys, buckets))
+        merged = scd1(state.rows(touched).unionByName(changes), keys, sequence)
+        state.replace(with_bucket(merged, keys, buckets), touched, batch_id)
         changes.unpersist()
 
     return run_available(stream, checkpoint, fold)
 
 
 def read_scd1(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return BucketedState(spark, path, schema).current()
+    return BucketedState(spark, path, schema).rows()
 
 
 def scd2_stream(
@@ -80,8 +80,9 @@ def scd2_stream(
         changes = with_bucket(batch.select(*columns), keys, buckets)
         changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/log/batch={batch_id}")
         log = read_if_there(spark, f"{path}/log", logged).filter(F.col("batch") <= batch_id)
-        touched = log.filter(F.col("batch") == batch_id).select("bucket").distinct()
-        history = scd2(in_buckets(log, touched).select(*columns), keys, sequence, tracked, tiebreak)
+        touched = buckets_of(log.filter(F.col("batch") == batch_id))
+        known = log.filter(F.col("bucket").isin(touched)).select(*columns)
+        history = scd2(known, keys, sequence, tracked, tiebreak)
         state.replace(with_bucket(history, keys, buckets), touched, batch_id)
 
     return run_available(stream, checkpoint, fold)
@@ -104,4 +105,4 @@ def read_scd2(
     tracked: Sequence[str],
 ) -> DataFrame:
     schema = history_schema(changes, keys, sequence, tracked)
-    return BucketedState(spark, f"{path}/history", schema).current()
+    return BucketedState(spark, f"{path}/history", schema).rows()

@@ -11,7 +11,7 @@ from gridledger.operators.cdc import scd1
 from gridledger.schemas import ENDPOINTS
 from gridledger.sources.raw import read_endpoint, snapshot
 from gridledger.streaming.cdc import read_scd1, scd1_stream
-from gridledger.streaming.state import BucketedState, in_buckets, read_if_there, with_bucket
+from gridledger.streaming.state import BucketedState, buckets_of, read_if_there, with_bucket
 
 # Newest pull wins; files of one micro-batch share the ingest time and are told apart by their own.
 SEQUENCE = ("_ingest_ts", "_file_ts", "_source_file")
@@ -59,14 +59,13 @@ def refresh_in_place(spark: SparkSession, root: str, out: str, name: str, run_id
     endpoint = ENDPOINTS[name]
     if endpoint.mode != "scd1":
         raise ValueError(f"{name} is an append table")
-    rows = with_bucket(snapshot(spark, root, name), endpoint.keys, STATE_BUCKETS)
-    columns = [c for c in rows.columns if c != "bucket"]
-    state = BucketedState(spark, table_path(out, name), rows.select(*columns).schema)
+    rows = snapshot(spark, root, name)
+    state = BucketedState(spark, table_path(out, name), rows.schema)
     if state.has(run_id):
         return
-    touched = rows.select("bucket").distinct()
-    merged = in_buckets(state.rows(), touched).unionByName(rows)
-    state.replace(scd1(merged, endpoint.keys, ["_file_ts", "_source_file"]), touched, run_id)
+    touched = buckets_of(with_bucket(rows, endpoint.keys, STATE_BUCKETS))
+    merged = scd1(state.rows(touched).unionByName(rows), endpoint.keys, ["_file_ts", "_source_file"])
+    state.replace(with_bucket(merged, endpoint.keys, STATE_BUCKETS), touched, run_id)
 
 
 def read_bronze(spark: SparkSession, root: str, out: str, name: str, pulls: bool = False) -> DataFrame:

@@ -5,12 +5,13 @@
 
 The state is, for each bucket, the rows of its newest committed batch. Rows without a commit are
 never read, so a batch that dies half-way leaves no trace; a batch that is run again after its commit
-is skipped. A batch rewrites the buckets its keys fall into and no others.
+is skipped. A batch reads and rewrites the buckets its keys fall into and no others. Lists of buckets
+are the only thing that reaches the driver; there are never more of them than a table has buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,18 +35,16 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def in_buckets(df: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of the given buckets. There are at most as many buckets as the table was made with, so
-    their list can be broadcast; it prunes the folders that are read."""
-    return df.join(F.broadcast(touched), "bucket", "left_semi")
+def buckets_of(df: DataFrame) -> list[int]:
+    return [r.bucket for r in df.select("bucket").distinct().collect()]
 
 
 class BucketedState:
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark = spark
         self.path = path
+        self.schema = StructType([*schema])
         self.columns = schema.fieldNames()
-        self.schema = StructType([*schema]).add("batch", "long").add("bucket", "integer")
 
     def _commits(self) -> DataFrame:
         return read_if_there(self.spark, f"{self.path}/commits", "bucket int, batch bigint")
@@ -53,19 +52,21 @@ class BucketedState:
     def has(self, batch_id: int) -> bool:
         return not self._commits().filter(F.col("batch") == batch_id).isEmpty()
 
-    def rows(self) -> DataFrame:
-        """The current rows with their bucket."""
+    def rows(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The current rows, of all buckets or of the given ones."""
         newest = self._commits().groupBy("bucket").agg(F.max("batch").alias("batch"))
-        rows = read_if_there(self.spark, f"{self.path}/rows", self.schema)
-        return rows.join(F.broadcast(newest), ["bucket", "batch"], "left_semi").drop("batch")
-
-    def current(self) -> DataFrame:
-        return self.rows().select(*self.columns)
-
-    def replace(self, rows: DataFrame, touched: DataFrame, batch_id: int) -> None:
-        """Publish new rows for the touched buckets."""
+        if buckets is not None:
+            newest = newest.filter(F.col("bucket").isin(list(buckets)))
+        folders = [f"{self.path}/rows/batch={r.batch}/bucket={r.bucket}" for r in newest.collect()]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*folders)
+
+    def replace(self, rows: DataFrame, buckets: Iterable[int], batch_id: int) -> None:
+        """Publish new rows for the given buckets. Large buckets become several files."""
         (
             rows.select(*self.columns, "bucket").hint("rebalance", "bucket")
             .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/rows/batch={batch_id}")
         )
-        touched.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")
+        commit = self.spark.createDataFrame([(b,) for b in buckets], "bucket int").coalesce(1)
+        commit.write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch_id}")

@@ -82,13 +82,13 @@ def test_replay_and_reorder_leave_the_same_state(spark, tmp_path, seed):
 
 def test_uncommitted_rows_are_not_read(spark, tmp_path):
     state = BucketedState(spark, str(tmp_path), SCHEMA)
-    assert state.current().isEmpty() and not state.has(0)
+    assert state.rows().isEmpty() and not state.has(0)
     rows = with_bucket(spark.createDataFrame([("a", 1, "x")], SCHEMA), ["k"], 4)
-    state.replace(rows, rows.select("bucket").distinct(), 0)
-    assert state.has(0) and state.current().count() == 1
+    state.replace(rows, [r.bucket for r in rows.collect()], 0)
+    assert state.has(0) and state.rows().count() == 1
     # A batch that died before its commit.
     half = with_bucket(spark.createDataFrame([("a", 2, "half")], SCHEMA), ["k"], 4)
     half.write.partitionBy("bucket").parquet(f"{tmp_path}/rows/batch=1")
-    assert [r.v for r in state.current().collect()] == ["x"]
-    state.replace(half, half.select("bucket").distinct(), 1)
-    assert [r.v for r in state.current().collect()] == ["half"]
+    assert [r.v for r in state.rows().collect()] == ["x"]
+    state.replace(half, [r.bucket for r in half.collect()], 1)
+    assert [r.v for r in state.rows().collect()] == ["half"]
