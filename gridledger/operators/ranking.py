@@ -53,12 +53,14 @@ def with_positions(
         keyed = df.withColumn("_value", order)
         found = value_positions(df, group, order, hot_rows)
         return join_same(keyed, found, [*group, "_value"], "inner").drop("_value")
-    whole = W.partitionBy(*group)
+    # One sort serves all three: rows before, rows on the same place, rows of the group.
+    placed = W.partitionBy(*group).orderBy("_value")
+    one = F.lit(1)
     return df.withColumn("_value", order).select(
         *df.columns,
-        (F.rank().over(whole.orderBy("_value")) - 1).cast("bigint").alias("_before"),
-        F.count(F.lit(1)).over(W.partitionBy(*group, "_value")).alias("_ties"),
-        F.count(F.lit(1)).over(whole).alias("_total"),
+        (F.rank().over(placed) - 1).cast("bigint").alias("_before"),
+        F.count(one).over(placed.rangeBetween(W.currentRow, W.currentRow)).alias("_ties"),
+        F.count(one).over(placed.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_total"),
     )
 
 

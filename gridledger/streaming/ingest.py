@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from gridledger.operators.cdc import scd1
+from gridledger.plans import silver
 from gridledger.schemas import ENDPOINTS
 from gridledger.sources.raw import read_endpoint, snapshot
-from gridledger.streaming.cdc import read_scd1, scd1_stream
+from gridledger.streaming.cdc import read_scd1, read_scd2, scd1_stream, scd2_stream
 from gridledger.streaming.state import BucketedState, buckets_of, read_if_there, with_bucket
 
 # Newest pull wins; files of one micro-batch share the ingest time and are told apart by their own.
@@ -84,3 +85,16 @@ def ingest(
         run_endpoint(spark, root, out, name, pulls)
         tables[f"bronze_{name}"] = read_bronze(spark, root, out, name, pulls)
     return tables
+
+
+def run_dim_manager(spark: SparkSession, root: str, out: str, pulls: bool = False) -> DataFrame:
+    """Keep the manager history from the stream of the bronze users table, and return it."""
+    schema = bronze_schema(spark, root, "users", pulls)
+    users = spark.readStream.schema(schema).parquet(table_path(out, "users"))
+    changes = silver.manager_changes(users)
+    path, how = f"{out}/dim_manager_history", (
+        silver.MANAGER_KEYS, silver.MANAGER_SEQUENCE, silver.MANAGER_TRACKED
+    )
+    tiebreak = silver.manager_tiebreak(users)
+    scd2_stream(changes, path, f"{out}/_streams/dim_manager", *how, tiebreak, STATE_BUCKETS)
+    return read_scd2(spark, path, changes.schema, *how)

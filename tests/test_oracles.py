@@ -31,8 +31,13 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query_equals_its_sql(spark, duck, name):
+def test_query_equals_its_sql(spark, duck, capsys, name):
     df = queries()[name](spark, FOLDER)
+    capsys.readouterr()
+    df.explain()
+    plan = capsys.readouterr().out
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
+        assert node not in plan
     statement = oracle_sql().get(name)
     if statement is None:
         assert df.count() > 0

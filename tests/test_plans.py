@@ -55,14 +55,3 @@ def test_rescoring_shuffles_nothing(spark, capsys):
            non_def_points double, def_id string, def_stats map<string, double>, is_regular boolean"""))
     text = plan(rescore(inputs, {"a": {"sack": 1.0}, "b": {}}), capsys)
     assert "Exchange" not in text and "Join" not in text
-
-
-# Building some queries runs streams or writes tables; the rest is checked without running anything.
-LAZY = sorted(set(queries()) - {"stream_append", "stream_scd1", "stream_scd2"})
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_cross_joins_and_no_python_in_plans(spark, capsys, name):
-    text = plan(queries()[name](spark, FOLDER), capsys)
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
-        assert node not in text, node

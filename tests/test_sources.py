@@ -102,6 +102,20 @@ def test_pulls_are_streamed_and_folded(spark, tmp_path):
     assert {r.season for r in rows.collect()} == {"2022"}
 
 
+def test_manager_history_is_streamed_from_the_bronze_table(spark, tree):
+    root, out = paths(tree)
+
+    def run():
+        ingest.run_endpoint(spark, root, out, "users")
+        rows = ingest.run_dim_manager(spark, root, out).filter("user_id = 'u2'").collect()
+        return sorted(map(tuple, rows), key=repr)
+
+    assert run() == [("u2", "Bo", "2022", "2023"), ("u2", "Bobby", "2023", None)]
+    raw_tree.put(root, "season=2021/users/users.json", [{"user_id": "u2", "display_name": "Bobby"}])
+    late = [("u2", "Bo", "2022", "2023"), ("u2", "Bobby", "2021", "2022"), ("u2", "Bobby", "2023", None)]
+    assert run() == late and run() == late
+
+
 def test_malformed_document_keeps_its_path(spark, tree):
     root, _ = paths(tree)
     raw_tree.put(root, "season=2022/users/broken.json", '[{"user_id": "u1", ')
