@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridledger.operators.joins import join_same
-from gridledger.operators.slices import HOT_ROWS, has_hot, with_slices
+from gridledger.operators.session import durable
+from gridledger.operators.slices import HOT_ROWS, has_hot, in_hot_groups, with_slices
 
 START, END = "__START_AT", "__END_AT"
 
@@ -51,7 +52,7 @@ def scd2(
         [*tiebreak, *tracked],
     ).select(*keys, F.col(sequence).alias("_seq"), F.struct(*tracked).alias("_now"))
     if sliced:
-        rows = with_slices(one_per_step, keys, F.col("_seq"), hot_rows)
+        rows = with_slices(durable(one_per_step), keys, F.col("_seq"), hot_rows)
     else:
         rows = one_per_step.withColumn("_slice", F.lit(0))
     inside = W.partitionBy(*keys, "_slice").orderBy("_seq")
@@ -75,10 +76,10 @@ def scd2(
 def _carry_forward(rows: DataFrame, compared: DataFrame, keys: list[str]) -> DataFrame:
     """Give the first row of a slice the state at the end of the slice before."""
     slices = W.partitionBy(*keys).orderBy("_slice")
-    ends = rows.groupBy(*keys, "_slice").agg(F.max_by("_now", "_seq").alias("_last"))
+    ends = in_hot_groups(rows).groupBy(*keys, "_slice").agg(F.max_by("_now", "_seq").alias("_last"))
     carried = ends.select(*keys, "_slice", F.lag("_last").over(slices).alias("_carried"))
     return (
-        join_same(compared, carried, [*keys, "_slice"])
+        join_same(compared, F.broadcast(carried), [*keys, "_slice"])
         .withColumn("_before", F.coalesce("_before", "_carried"))
         .drop("_carried")
     )
@@ -87,10 +88,10 @@ def _carry_forward(rows: DataFrame, compared: DataFrame, keys: list[str]) -> Dat
 def _carry_back(starts: DataFrame, ended: DataFrame, keys: list[str]) -> DataFrame:
     """Give the last start of a slice the first start of the slices after."""
     slices = W.partitionBy(*keys).orderBy("_slice")
-    heads = starts.groupBy(*keys, "_slice").agg(F.min("_seq").alias("_head"))
+    heads = in_hot_groups(starts).groupBy(*keys, "_slice").agg(F.min("_seq").alias("_head"))
     following = heads.select(*keys, "_slice", F.lead("_head").over(slices).alias("_following"))
     return (
-        join_same(ended, following, [*keys, "_slice"])
+        join_same(ended, F.broadcast(following), [*keys, "_slice"])
         .withColumn("_next", F.coalesce("_next", "_following"))
         .drop("_following")
     )

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from gridledger.operators.joins import join_same
 from gridledger.operators.session import durable
-from gridledger.operators.slices import HOT_ROWS, has_hot, with_slices
+from gridledger.operators.slices import HOT_ROWS, has_hot, in_hot_groups, with_slices
 
 EARLIER = (W.unboundedPreceding, -1)
+# An exact percentile keeps the distinct values of a group in memory, so it gets a lower limit.
+MEDIAN_ROWS = 1_000_000
 
 
 def value_positions(
@@ -24,23 +26,27 @@ def value_positions(
     """
     values = durable(df.groupBy(*group, order.alias("_value")).agg(F.count(F.lit(1)).alias("_ties")))
     sliced = with_slices(values, group, F.col("_value"), hot_rows)
-    in_slice = W.partitionBy(*group, "_slice").orderBy("_value").rowsBetween(*EARLIER)
-    local = sliced.withColumn("_local", F.coalesce(F.sum("_ties").over(in_slice), F.lit(0)))
-
+    whole = W.partitionBy(*group, "_slice")
+    rows = F.sum("_ties")
+    local = sliced.select(
+        "*",
+        F.coalesce(rows.over(whole.orderBy("_value").rowsBetween(*EARLIER)), F.lit(0)).alias("_local"),
+        rows.over(whole).alias("_slice_total"),
+    )
     across = W.partitionBy(*group)
-    earlier_slices = across.orderBy("_slice").rowsBetween(*EARLIER)
+    in_slice = F.sum("_slice_rows")
     offsets = (
-        sliced.groupBy(*group, "_slice").agg(F.sum("_ties").alias("_slice_rows"))
+        in_hot_groups(sliced).groupBy(*group, "_slice").agg(rows.alias("_slice_rows"))
         .select(
             *group, "_slice",
-            F.sum("_slice_rows").over(across).alias("_total"),
-            F.coalesce(F.sum("_slice_rows").over(earlier_slices), F.lit(0)).alias("_offset"),
+            in_slice.over(across.orderBy("_slice").rowsBetween(*EARLIER)).alias("_offset"),
+            in_slice.over(across).alias("_group_total"),
         )
     )
-    return (
-        join_same(local, offsets, [*group, "_slice"], "inner")
-        .withColumn("_before", F.col("_local") + F.col("_offset"))
-        .drop("_slice", "_local", "_offset")
+    return join_same(local, F.broadcast(offsets), [*group, "_slice"]).select(
+        *group, "_value", "_ties",
+        (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias("_before"),
+        F.coalesce("_group_total", "_slice_total").alias("_total"),
     )
 
 
@@ -65,7 +71,7 @@ def with_positions(
 
 
 def medians(
-    df: DataFrame, group: Sequence[str], value: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, group: Sequence[str], value: str, name: str, hot_rows: int = MEDIAN_ROWS
 ) -> DataFrame:
     """Exact median per group: the mean of the two middle values for an even count. NULLs are left out."""
     known = df.filter(F.col(value).isNotNull())

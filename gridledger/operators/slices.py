@@ -13,6 +13,8 @@ and a small table with one row per slice carries values across the cuts.
 * The cut table therefore has fewer than MAX_HOT * CELLS values. That bound is what makes its
   broadcast safe.
 
+Tables with one row per slice of the hot groups have the same bound and are broadcast as well.
+
 Callers pass tables or materialized rows: the input is read once for the check and once for the work.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from gridledger.operators.joins import join_same
 from gridledger.operators.session import durable
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 MAX_HOT = 4096
 CELLS = 64
 
@@ -42,7 +44,7 @@ def has_hot(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS) -> bo
 def with_slices(
     df: DataFrame, group: Sequence[str], order: Column, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add `_slice`: rising along `order` inside a hot group, 0 everywhere else. Materialized."""
+    """Add `_slice`: rising from 0 along `order` inside a hot group, -1 everywhere else. Materialized."""
     keyed = df.select(*group, order.alias("_order"))
     sizes = group_sizes(df, group)
     share = sizes.agg(F.sum("_rows") / MAX_HOT).scalar()
@@ -52,11 +54,24 @@ def with_slices(
         .groupBy(*group, F.pmod(F.xxhash64("_order"), F.lit(CELLS)).alias("_cell"))
         .agg(F.min_by("_order", F.xxhash64(F.lit(1), "_order")).alias("_cut"))
         .groupBy(*group)
-        .agg(F.collect_set("_cut").alias("_cuts"))
+        .agg(F.sort_array(F.collect_set("_cut")).alias("_cuts"))
     )
-    below = F.size(F.filter("_cuts", lambda cut: cut < order))
     return durable(
         join_same(df, F.broadcast(cuts), group)
-        .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(below))
+        .withColumn("_slice", F.coalesce(cuts_below(F.col("_cuts"), order), F.lit(-1)))
         .drop("_cuts")
     )
+
+
+def in_hot_groups(sliced: DataFrame) -> DataFrame:
+    return sliced.filter(F.col("_slice") >= 0)
+
+
+def cuts_below(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts are below the value, by halving; NULL without cuts."""
+    steps = F.array(*[F.lit(CELLS >> i) for i in range(CELLS.bit_length())])
+
+    def advance(found: Column, step: Column) -> Column:
+        return F.when(F.get(cuts, found + step - 1) < value, found + step).otherwise(found)
+
+    return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), advance))
