@@ -118,12 +118,16 @@ class LeagueTables:
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("roster_id")
         )
 
+    def _team_orders(self) -> DataFrame:
+        """Orders with the team of their customer. Joined before the lines, which are many more."""
+        return self._orders().join(self._customers(), "o_custkey").drop("o_custkey")
+
     def matchups(self) -> DataFrame:
         """One row per team-week; points are the team's orders of the month."""
         team = F.col("roster_id")
         partner = F.pmod(F.col("season") * 12 + F.col("week") - team, F.lit(TEAMS))
         return (
-            self._orders().join(self._customers(), "o_custkey")
+            self._team_orders()
             .groupBy("season", "week", "roster_id").agg(F.count(F.lit(1)).cast("double").alias("points"))
             .select(
                 _text(F.col("season")).alias("season"),
@@ -158,38 +162,36 @@ class LeagueTables:
     def _slots(self) -> DataFrame:
         """Rostered parts, and part types as team units: points, starter flag and document number.
 
-        Both grains come from one pass over the joined lines.
+        Both grains start from the same totals, so the lines are joined and shuffled once; totals by
+        part stay where the join with the parts has put them.
         """
         lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), "l_quantity"
         )
         types = self.table("part").select("p_partkey", "p_type")
         team = ["season", "week", "roster_id"]
-        no_part, no_type = F.lit(None).cast("bigint"), F.lit(None).cast("string")
-        grains = F.array(
-            F.struct(F.col("p_partkey").alias("part"), no_type.alias("type")),
-            F.struct(no_part.alias("part"), F.col("p_type").alias("type")),
-        )
         totals = (
-            lines.join(self._orders(), "o_orderkey")
-            .join(self._customers(), "o_custkey")
-            .join(types, "p_partkey")
-            .select(*team, "l_quantity", F.inline(grains))
-            .groupBy(*team, "part", "type").agg(F.sum("l_quantity").alias("quantity"))
+            lines.join(self._team_orders(), "o_orderkey").join(types, "p_partkey")
+            .groupBy(*team, "p_partkey", "p_type").agg(F.sum("l_quantity").alias("quantity"))
         )
-        part, unit = F.col("part"), F.col("type")
+        part, unit = F.col("p_partkey"), F.col("p_type")
         week, roster = F.col("week"), F.col("roster_id")
+        people = totals.select(
+            *team,
+            _text(part).alias("player_id"),
+            F.when((part + roster) % 13 != 0, F.col("quantity")).alias("points"),
+            ((part + week) % 3 != 0).alias("is_starter"),
+            F.floor(part / SLOT_SPAN).alias("document"),
+        )
         position = F.array_position(F.array(*[F.lit(u) for u in UNITS]), unit)
-        turn = (week + roster) % len(UNITS) + 1
-        is_person = part.isNotNull()
-        return totals.select(
+        units = totals.groupBy(*team, "p_type").agg(F.sum("quantity").alias("quantity")).select(
             *team,
-            F.coalesce(_text(part), unit).alias("player_id"),
-            F.when(unit.isNotNull() | ((part + roster) % 13 != 0), F.col("quantity")).alias("points"),
-            F.when(is_person, (part + week) % 3 != 0).otherwise(position == turn).alias("is_starter"),
-            F.when(is_person, F.floor(part / SLOT_SPAN))
-            .otherwise(-1 - F.crc32("type") % SLOT_SPAN).alias("document"),
+            unit.alias("player_id"),
+            F.col("quantity").alias("points"),
+            (position == (week + roster) % len(UNITS) + 1).alias("is_starter"),
+            (-1 - F.crc32("p_type") % SLOT_SPAN).alias("document"),
         )
+        return people.unionByName(units)
 
     def roster_slots(self) -> DataFrame:
         """Slots with their owner, flat."""
@@ -221,19 +223,19 @@ class LeagueTables:
         )
 
     def transactions(self) -> DataFrame:
-        """Order lines returned A are adds, R are drops. Copies of a line are removed first."""
+        """Order lines returned A are adds, R are drops. Copies of a line are one move; they are
+        merged before the shuffle, and a document holds at most SLOT_SPAN parts of an order."""
         part = F.col("l_partkey")
         moves = (
             self.table("lineitem").filter(F.col("l_returnflag").isin("A", "R"))
-            .select("l_orderkey", "l_partkey", "l_returnflag").distinct()
-            .withColumnRenamed("l_orderkey", "o_orderkey")
+            .select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_returnflag")
         )
         entry = F.struct(
             _text(part).alias("key"), ((F.col("o_orderkey") + part) % TEAMS).alias("value")
         )
 
         def kept(flag: str) -> Column:
-            return F.map_from_entries(F.collect_list(F.when(F.col("l_returnflag") == flag, entry)))
+            return F.map_from_entries(F.collect_set(F.when(F.col("l_returnflag") == flag, entry)))
 
         orders = self.table("orders").select(
             "o_orderkey", "o_orderstatus",

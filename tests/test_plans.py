@@ -37,7 +37,14 @@ def test_scans_read_needed_columns_only(spark, capsys):
     assert columns["lineitem"] == {"l_orderkey", "l_partkey", "l_quantity"}
     assert columns["orders"] == {"o_orderkey", "o_custkey", "o_orderdate"}
     assert columns["customer"] == {"c_custkey", "c_nationkey"}
-    assert sum(table == "lineitem" for table, _ in scanned) == 1
+
+
+def test_both_slot_grains_share_one_scan_of_the_lines(spark, capsys):
+    df = queries()["bench_points"](spark, FOLDER)
+    df.collect()
+    final = plan(df, capsys)
+    final = final[final.index("Final Plan"):final.index("Initial Plan")]
+    assert "ReusedExchange" in final
 
 
 def test_filters_reach_the_scan(spark, capsys):
