@@ -58,7 +58,9 @@ def with_positions(
     if has_hot(df, group, hot_rows):
         keyed = df.withColumn("_value", order)
         found = value_positions(df, group, order, hot_rows)
-        return join_same(keyed, found, [*group, "_value"], "inner").drop("_value")
+        return join_same(keyed, found, [*group, "_value"], "inner").select(
+            *df.columns, "_before", "_ties", "_total"
+        )
     # One sort serves all three: rows before, rows on the same place, rows of the group.
     placed = W.partitionBy(*group).orderBy("_value")
     one = F.lit(1)

@@ -185,3 +185,19 @@ def test_season_chain_guards(spark):
     assert chain_ids(spark, [("c", "b"), ("b", "gone")], "c") == ["c", "b"]  # missing link
     assert chain_ids(spark, [("c", ""), ("b", None)], "c") == ["c"]
     assert chain_ids(spark, [("c", "")], "nobody") == []
+
+
+def test_positions_by_several_columns_in_slices(spark):
+    """The order of a season's finish, with missing values, on both paths."""
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 7 < 5, "hot").otherwise("cold").alias("g"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 4).alias("wins"),
+        F.when(F.col("id") % 13 != 0, (F.col("id") * 37 % 50).cast("double")).alias("points"),
+        F.when(F.col("id") != 77, F.concat(F.lit("u"), F.col("id").cast("string"))).alias("user_id"),
+    )
+    order = F.struct(F.col("wins").isNull().alias("w"), (-F.col("wins")).alias("mw"), (-F.col("points")).alias("mp"), "user_id")
+    plain = with_positions(rows, ["g"], order)
+    sliced = with_positions(rows, ["g"], order, hot_rows=10)
+    assert sliced.count() == 400
+    assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
+    assert plain.filter("_ties <> 1").isEmpty()
