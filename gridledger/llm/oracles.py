@@ -2,4 +2,62 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from gridledger.llm import sharding
+
+#: Number of words of a text.
+_SIZE = r"length(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, {_SIZE} AS size,
+         length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS marks,
+         (('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT + 0.5)::DOUBLE
+           / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+), keyed AS (
+  SELECT *, -ln(u) / ((size + 1)::DOUBLE / (size + 1 + marks)) AS k FROM sized
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, (((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1)::DOUBLE AS w,
+         3.0::DOUBLE * source_size AS cap, (sum(source_size) OVER ())::DOUBLE AS total
+  FROM sources
+), levels AS (
+  SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w
+  FROM weighed
+), filled AS (SELECT *, cap * open_w <= (total - before) * w AS is_full FROM levels
+), goals AS (
+  SELECT source, source_size,
+         CASE WHEN is_full THEN cap
+              ELSE (total - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ()) * w
+                   / sum(CASE WHEN is_full THEN 0 ELSE w END) OVER () END AS target
+  FROM filled
+), budgets AS (
+  SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs FROM goals
+), sums AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs,
+         CASE WHEN b.epochs >= 3 THEN 0 ELSE b.target - b.epochs * b.source_size END AS rest, d.k,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, d.k) AS same
+  FROM keyed d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (epochs + CASE WHEN rest > 0 AND upto - same + same / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sums
+"""
+
+SHARDING = f"""
+WITH tab AS (SELECT {sharding.lookup_table(sharding.SHARDS)} AS owners),
+placed AS (
+  SELECT doc_id, (('0x' || substr(md5(coalesce('k:' || CAST(doc_id AS VARCHAR), 'null')), 1, 15))::BIGINT
+                  % {sharding.TABLE_SIZE})::INTEGER AS slot
+  FROM documents
+)
+SELECT doc_id, slot, 'shard-' || lpad(CAST(owners[slot + 1] AS VARCHAR), 2, '0') AS shard FROM placed, tab
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_mixing": MIXING,
+    "op8_sharding": SHARDING,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import packing
+from gridledger.llm import mixing, packing, quality, sharding
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,24 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of all sources takes of each document; sources weigh 1, 2, 3 and so on, at most 3 epochs."""
+    return mixing.mix_sizes(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Slot and shard of every document among 64 shards, by its id."""
+    return sharding.place(table(spark, folder, "documents").select("doc_id"), F.col("doc_id"))
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Features, votes and verdict on every document."""
+    return quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
     "op6_packing": op6_packing,
+    "op8_sharding": op8_sharding,
+    "op9_quality": op9_quality,
 }
