@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import mixing, packing, quality, sharding
+from gridledger.llm import jaccard, mixing, packing, quality, sharding
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's set of 4-word shingles and the class it is linked into."""
+    return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut into power-of-two pieces; the ids of a piece as a checksum."""
     pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer())
@@ -44,6 +49,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
