@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import jaccard, mixing, packing, quality, sharding
+from gridledger.llm import chat, jaccard, langid, mixing, packing, quality, sharding
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,15 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, from profiles of the labelled documents that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out(F.col("doc_id"))
+    profiles = langid.learn(documents.filter(~out))
+    found = langid.identify(documents.withColumn("held_out", out), profiles, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut into power-of-two pieces; the ids of a piece as a checksum."""
     pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer())
@@ -47,10 +56,17 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation repaired and rendered, a row per turn."""
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_language_id": op4_language_id,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
+    "op10_chat_formatting": op10_chat_formatting,
 }
