@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import chat, jaccard, langid, mixing, packing, quality, sharding
+from gridledger.llm import ann, chat, html, jaccard, langid, mixing, packing, quality, sharding
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document cut into power-of-two pieces; the ids of a piece as a checksum."""
     pieces = packing.pack(table(spark, folder, "documents"), word_tokenizer())
@@ -46,6 +51,12 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Slot and shard of every document among 64 shards, by its id."""
     return sharding.place(table(spark, folder, "documents").select("doc_id"), F.col("doc_id"))
@@ -65,7 +76,9 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_id": op4_language_id,
+    "op5_html_extraction": op5_html_extraction,
     "op6_packing": op6_packing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
