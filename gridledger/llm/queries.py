@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import ann, chat, html, jaccard, langid, mixing, packing, quality, sharding
+from gridledger.llm import ann, chat, html, jaccard, langid, mixing, packing, pii, quality, sharding
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,15 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Stands for the secret that a deployment passes in.
+DEMO_KEY = "public demonstration key"
+
+
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with pseudonyms for its personal data."""
+    return pii.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), DEMO_KEY, count="n_replaced")
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's set of 4-word shingles and the class it is linked into."""
     return jaccard.classes(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -74,6 +83,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_pii": op2_pii,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_language_id": op4_language_id,
     "op5_html_extraction": op5_html_extraction,
