@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 MAX_LENGTH = 4096
 END_ID = 2
 #: Runs whose ids a worker remembers; the cache starts anew beyond it.
-CACHE_RUNS = 150_000
+CACHE_RUNS = 220_000
 #: Letters that stand for themselves in every normal form, and marks other than quotes and brackets.
 LETTER = "[A-Za-zäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ]"
 MARK = "[!-&(-/:;=?@*#$%]"
