@@ -39,3 +39,17 @@ def count_chars(text: Column, chars: str) -> Column:
 
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+#: Rows and bytes that go to a Python worker at a time, so that its memory does not depend on the length of texts.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """The same rows, for a step in Python: the session's Arrow batches are made small enough for whole texts."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "-1")) not in range(1, ARROW_BYTES + 1):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df

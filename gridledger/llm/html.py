@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.llm.common import in_batches
 from gridledger.operators.session import durable
 
 #: A text of the model is template if it stays the same on this share of the pages that vote, of at least so many pages.
@@ -318,7 +319,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     dealt = rows.withColumn("part", part)
     spread = lambda m: m.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
     several = spread(models.filter(F.col("n") > TEMPLATE_PAGES).select("host", "model"))
-    votes = dealt.filter("html <> ''").join(several, ["host", "part"]).select("host", "html", "model").mapInArrow(
+    votes = in_batches(dealt.filter("html <> ''").join(several, ["host", "part"]).select("host", "html", "model")).mapInArrow(
         _votes, "host string, place int, pages long, same long")
     constant = (
         votes.groupBy("host", "place").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"))
@@ -330,6 +331,6 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     from pyspark.sql import types as T
 
     schema = T.StructType([T.StructField("row", read.schema["row"].dataType), T.StructField("text", T.StringType())])
-    found = read.mapInArrow(_extract, schema)
+    found = in_batches(read).mapInArrow(_extract, schema)
     return found.select(
         F.col("row.page_id").alias(page_id), F.col("row.url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

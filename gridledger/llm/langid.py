@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridledger.llm.common import in_batches
+
 PROFILE_SIZE = 400
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 #: Distinct n-grams a task holds before it passes them on.
-HELD_GRAMS = 1 << 20
-PART_BYTES = 1 << 20
+HELD_GRAMS = 1 << 18
 _BLANK = 32
 _letters: list[np.ndarray] = []
 
@@ -112,7 +113,7 @@ def learn(labelled: DataFrame, *, text: str = "text", lang: str = "lang", profil
     Rows with a NULL label or without letters teach nothing; repeated rows count each. No rows, no profiles.
     """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    counted = rows.filter("lang is not null and text is not null").mapInArrow(_count, "lang string, gram long, n long")
+    counted = in_batches(rows.filter("lang is not null and text is not null")).mapInArrow(_count, "lang string, gram long, n long")
     order = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = (
         counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -173,7 +174,7 @@ def identify(
 
     schema = T.StructType([*read.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    return read.mapInArrow(_predictor(profiles, profile_size), schema)
+    return in_batches(read).mapInArrow(_predictor(profiles, profile_size), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridledger.llm.common import in_batches
+
 MAX_LENGTH = 4096
 END_ID = 2
 #: Runs whose ids a worker remembers; the cache starts anew beyond it.
@@ -151,7 +153,7 @@ def pack(
         T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
         T.StructField("doc_tokens", T.LongType()),
     ])
-    pieces = read.mapInArrow(_pieces(tokenizer_path, end_id, longest), schema)
+    pieces = in_batches(read).mapInArrow(_pieces(tokenizer_path, end_id, longest), schema)
     return pieces.select(
         F.col("key").alias(doc_id), "start", "length", "ids", "doc_tokens",
         F.round(F.log2("length")).cast("int").alias("bucket"),
