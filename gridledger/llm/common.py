@@ -50,6 +50,5 @@ def in_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "-1")) not in range(1, ARROW_BYTES + 1):
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return df
