@@ -27,7 +27,9 @@ TABLES = 4
 PROBES = 48
 BEST = 20
 CHUNK = 4096
-TASK_ROWS = 200_000
+#: Units are dealt to so many tasks at least, and to one more for each TASK_ROWS looks into a bucket. A query's best
+#: are sent on once per task, so more tasks than memory asks for would only send more.
+LEAST_TASKS, TASK_ROWS = 48, 200_000
 SEED = 7
 ROUNDS = 3
 
@@ -163,8 +165,7 @@ def nearest(
     place = ["tab", "size", "bucket"]
     chunks = lambda df, name: df.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name))
     counts = chunks(stored, "stored_chunks").join(chunks(asked, "asked_chunks"), place)
-    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(tasks, math.ceil(asked.count() / TASK_ROWS))
+    tasks = max(LEAST_TASKS, math.ceil(asked.count() / TASK_ROWS))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     chunk = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     left = stored.join(counts, place).withColumn("s", chunk("stored_chunks")).withColumn("a", upto("asked_chunks"))
