@@ -26,7 +26,7 @@ from gridledger.operators.session import durable
 
 #: A text of the model is template if it stays the same on this share of the pages that vote, of at least so many pages.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 4
-#: A page votes if no more than this share of its matched texts equals the model's: copies of the model prove nothing.
+#: A page votes if no more than this share of the matched text (characters) equals the model's: copies of the model prove nothing.
 COPY_SHARE = 0.5
 #: Parts a host's pages are dealt into when they meet the model.
 PARTS = 64
@@ -201,15 +201,15 @@ def align(model: Node, page: Node) -> list[tuple[Node, Node]]:
     return out
 
 
-def matched_texts(model: Node, page: Node) -> list[tuple[int, int, bool]]:
-    """(place in the model, place in the page, same text) of the matched elements with a text of their own in the model."""
+def matched_texts(model: Node, page: Node) -> list[tuple[int, int, bool, int]]:
+    """(place in the model, place in the page, same text, its length) of the matched elements with a text of their own in the model."""
     _number(model)
     _number(page)
     found = []
     for a, b in align(model, page):
         text = own_text(a)
         if text:
-            found.append((a.place, b.place, text == own_text(b)))
+            found.append((a.place, b.place, text == own_text(b), len(text)))
     return found
 
 
@@ -273,9 +273,9 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 models.clear()
                 models[host] = parse(source)
             found = matched_texts(models[host], parse(html))
-            if not found or sum(s for _, _, s in found) > COPY_SHARE * len(found):
+            if sum(n for _, _, same, n in found if same) > COPY_SHARE * sum(n for *_, n in found):
                 continue
-            for place, _, same in found:
+            for place, _, same, _ in found:
                 held = sums.setdefault((host, place), [0, 0])
                 held[0] += 1
                 held[1] += same
@@ -297,7 +297,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if model_of[0] != source:
                     model_of[:] = source, parse(source)
                 fixed = set(places)
-                template = {b for a, b, same in matched_texts(model_of[1], page) if same and a in fixed}
+                template = {b for a, b, same, _ in matched_texts(model_of[1], page) if same and a in fixed}
             out.append(main_text(page, template))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
