@@ -504,4 +504,4 @@ oracle("publish_season_payload", "fixed setting season_stat stat bracket mgr", f
     UNION ALL
     SELECT NULL, 'manager', NULL, user_id, json_object('display_name', display_name)::VARCHAR FROM mgr
     UNION ALL
-    SELECT NULL, 'def_settings_proposed', NULL, season, doc FROM settings WHERE season = '2001'""")
+    SELECT NULL, 'def_settings_proposed', NULL, season, doc FROM settings WHERE season = (SELECT max(season) FROM settings)""")

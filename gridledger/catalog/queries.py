@@ -501,7 +501,8 @@ def reconcile_report(t: League) -> DataFrame:
 
 @query
 def season_chain(t: League) -> DataFrame:
-    return chain.season_chain(durable(t.league()), "L2001")
+    leagues = durable(t.league())
+    return chain.season_chain(leagues, leagues.agg(F.max_by("league_id", "season")).first()[0])
 
 
 @query
@@ -524,7 +525,7 @@ def publish_season_payload(t: League) -> DataFrame:
         scenario.unit_season_stats(t.stats()),
         gold.season_champions(t.winners_bracket(), t.rosters()),
         t.managers(),
-        "2001",
+        t.league().agg(F.max("season")).first()[0],
     )
 
 

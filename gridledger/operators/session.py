@@ -26,8 +26,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints; a temporary one only where it names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The shared folder the cluster names for checkpoints. A local master may do without; executors of a cluster would each
+    write to a disk of their own, so there its absence is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_folder()
 
 
 @cache
