@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +54,11 @@ def in_batches(df: DataFrame) -> DataFrame:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return df
+
+
+def give_back() -> None:
+    """Return memory that is freed already to the system: a Python worker outlives its tasks, next to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

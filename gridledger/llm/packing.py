@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridledger.llm.common import in_batches
+from gridledger.llm.common import give_back, in_batches
 
 MAX_LENGTH = 4096
 END_ID = 2
 #: Runs whose ids a worker remembers; the cache starts anew beyond it.
-CACHE_RUNS = 220_000
+CACHE_RUNS = 180_000
 #: Letters that stand for themselves in every normal form, and marks other than quotes and brackets.
 LETTER = "[A-Za-zäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ]"
 MARK = "[!-&(-/:;=?@*#$%]"
@@ -101,9 +101,8 @@ def _pieces(path: str, end_id: int, longest: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
         end = np.uint32(end_id).tobytes()
-        pool = pa.default_memory_pool()
         for batch in batches:
-            pool.release_unused()  # else freed buffers stay with the worker, next to the executor's heap
+            give_back()
             for part in _bounded(batch):
                 rows, starts, lengths, ids, totals = [], [], [], [], []
                 for row, found in enumerate(encoder.encode(part.column(1))):
