@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridledger.schemas import PLAYERS_BLOB, SEASON_PATTERN, STATS_BLOB, WEEK_PATTERN
+from gridledger.schemas import ENTRIES, PLAYER, SEASON_PATTERN, STATS, WEEK_PATTERN
 
 
 def from_path(path: Column, pattern: str) -> Column:
@@ -27,18 +27,29 @@ def full_name(full: Column, first: Column, last: Column) -> Column:
     return F.coalesce(full, joined)
 
 
-def players_map(text: Column) -> Column:
-    return F.from_json(text, PLAYERS_BLOB)
+def entries(text: Column) -> Column:
+    """id -> JSON text of the entry; NULL when the document is no object. An odd entry does not touch the others."""
+    return F.from_json(text, ENTRIES)
+
+
+def player(entry: Column) -> Column:
+    """One entry of the dictionary; NULL when it is no object."""
+    return F.when(F.ltrim(entry).startswith("{"), F.from_json(entry, PLAYER))
+
+
+def stats(entry: Column) -> Column:
+    """One player's stat -> value as text (see `numbers`); NULL when the entry is no object."""
+    return F.from_json(entry, STATS)
 
 
 def stats_map(text: Column) -> Column:
-    """player id -> stat -> value as text; see `numbers`."""
-    return F.from_json(text, STATS_BLOB)
+    """player id -> stat -> value as text, for a whole file."""
+    return F.transform_values(entries(text), lambda _, entry: stats(entry))
 
 
-def numbers(stats: Column) -> Column:
+def numbers(texts: Column, kind: str = "double") -> Column:
     """Cast the values of one text map; a value that is no number becomes NULL."""
-    return F.transform_values(stats, lambda _, v: v.try_cast("double"))
+    return F.transform_values(texts, lambda _, v: v.try_cast(kind))
 
 
 def struct_to_map(value: Column, value_type: str) -> Column:

@@ -47,9 +47,9 @@ MANIFEST = """
                          transactions: int, draft_picks: int, stat_weeks: int>>
 """
 PLAYER = "full_name string, first_name string, last_name string, position string, team string"
-PLAYERS_BLOB = f"map<string, struct<{PLAYER.replace(' string', ': string')}>>"
-# Values are read as text and cast one by one: a single bad value must not void a whole file.
-STATS_BLOB = "map<string, map<string, string>>"
+# Whole files are read entry by entry and value by value: what is odd must not void the rest of its file.
+ENTRIES = "map<string, string>"
+STATS = "map<string, string>"
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from gridledger.functions.parsing import season_from_path, week_from_path
+from gridledger.functions.parsing import numbers, season_from_path, week_from_path
 from gridledger.schemas import BINARY_FILE, ENDPOINTS, Endpoint
 
 ROOT_SETTING = "gridledger.raw_root"
+CORRUPT = "_corrupt_record"
 
 
 def raw_root(spark: SparkSession, root: str | None = None) -> str:
@@ -57,6 +59,29 @@ def read_blobs(
     )
 
 
+def _documents(spark: SparkSession, root: str, name: str, streaming: bool, pulls: bool) -> tuple[DataFrame, StructType]:
+    """Rows of the JSON files of an endpoint, with `_corrupt_record`, and the declared schema. Values of maps are read
+    as text and cast one by one, so that a single odd value does not void the map it is in."""
+    endpoint = ENDPOINTS[name]
+    declared = StructType.fromDDL(endpoint.schema)
+    as_text = MapType(StringType(), StringType())
+    read = StructType([
+        *(StructField(f.name, as_text if isinstance(f.dataType, MapType) else f.dataType) for f in declared),
+        StructField(CORRUPT, StringType()),
+    ])
+    reader = (spark.readStream if streaming else spark.read).option("multiLine", True)
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(read).format("json")
+    return rows.load(f"{root}/{endpoint.glob(pulls)}"), declared
+
+
+def _nothing_read(declared: StructType) -> Column:
+    """A document that could not be parsed: its text is kept and no column has a value."""
+    lost = F.col(CORRUPT).isNotNull()
+    for name in declared.names:
+        lost = lost & F.col(name).isNull()
+    return lost
+
+
 def read_endpoint(
     spark: SparkSession,
     root: str,
@@ -66,18 +91,33 @@ def read_endpoint(
     infer: bool = False,
     snapshot: bool = False,
 ) -> DataFrame:
-    """Rows of one endpoint with audit columns. `infer` (batch only) takes types from the files."""
+    """Rows of one endpoint with audit columns. `infer` (batch only) takes types from the files.
+
+    A document that is no JSON gives no row here; `unreadable_documents` has it.
+    """
     endpoint: Endpoint = ENDPOINTS[name]
-    glob = f"{root}/{endpoint.glob(pulls)}"
     if endpoint.schema is None:
-        return read_blobs(spark, glob, endpoint.text_column, streaming, snapshot)
-    reader = (spark.readStream if streaming else spark.read).option("multiLine", True)
-    if not infer:
-        reader = reader.schema(endpoint.schema)
-    elif streaming:
-        raise ValueError("a stream needs a schema; inference works on batches")
+        return read_blobs(spark, f"{root}/{endpoint.glob(pulls)}", endpoint.text_column, streaming, snapshot)
     ingested = F.col("_metadata.file_modification_time") if snapshot else None
-    return with_audit(reader.format("json").load(glob), ingested)
+    if infer:
+        if streaming:
+            raise ValueError("a stream needs a schema; inference works on batches")
+        return with_audit(spark.read.option("multiLine", True).json(f"{root}/{endpoint.glob(pulls)}"), ingested)
+    rows, declared = _documents(spark, root, name, streaming, pulls)
+    audited = with_audit(rows, ingested).filter(~_nothing_read(declared))
+    return audited.select(*[
+        numbers(F.col(f.name), f.dataType.valueType.simpleString()).alias(f.name) if isinstance(f.dataType, MapType)
+        else F.col(f.name)
+        for f in declared
+    ], *[c for c in audited.columns if c not in (*declared.names, CORRUPT)])
+
+
+def unreadable_documents(
+    spark: SparkSession, root: str, name: str, streaming: bool = False, pulls: bool = False
+) -> DataFrame:
+    """Documents of a JSON endpoint that could not be parsed: text, path, times and season."""
+    rows, declared = _documents(spark, root, name, streaming, pulls)
+    return with_audit(rows).filter(_nothing_read(declared)).drop(*declared.names)
 
 
 def snapshot(spark: SparkSession, root: str, name: str, **options) -> DataFrame:

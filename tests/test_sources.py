@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import raw_tree
+from gridledger.plans import silver
 from gridledger.schemas import ENDPOINTS
 from gridledger.sources import landing, raw
 from gridledger.streaming import ingest
@@ -125,6 +126,30 @@ def test_malformed_document_keeps_its_path(spark, tree):
     assert rows.filter("display_name IS NOT NULL").count() == 6
 
 
+def test_odd_values_leave_the_rest_of_their_map(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    odd = raw_tree.team(1, 1, 5.0, {"20": 1.0}, ["20"])
+    odd["players_points"], odd["players"] = {"20": 1.0, "21": "x", "22": 2}, ["20", "21", "22"]
+    raw_tree.put(root, "season=2023/matchups/week=1.json", [odd])
+    raw_tree.put(root, "season=2023/matchups/week=2.json", [raw_tree.team(1, 1, 5.0, {"20": 1.0}, ["20"])])
+    (tmp_path / "raw/season=2023/matchups/week=3.json").write_text('[{"roster_id": 1, ')
+    teams = raw.read_endpoint(spark, root, "matchups", streaming=False)
+    rosters = spark.createDataFrame([("2023", 1, "u1")], "season string, roster_id bigint, owner_id string")
+    slots = {(r.week, r.player_id): (r.points, r.is_starter) for r in silver.fact_roster_slot(teams, rosters).collect()}
+    assert slots == {(1, "20"): (1.0, True), (1, "21"): (None, False), (1, "22"): (2.0, False), (2, "20"): (1.0, True)}
+    assert teams.count() == 2  # no team from the broken file
+    broken = raw.unreadable_documents(spark, root, "matchups").collect()
+    assert [(r.season, r._source_file.endswith("week=3.json")) for r in broken] == [("2023", True)]
+
+
+def test_inferred_types_feed_the_slots(spark, tree):
+    root, _ = paths(tree)
+    rosters = raw.read_endpoint(spark, root, "rosters", streaming=False)
+    given, inferred = (silver.fact_roster_slot(raw.read_endpoint(spark, root, "matchups", streaming=False, infer=i), rosters)
+                       for i in (False, True))
+    assert sorted(given.collect(), key=repr) == sorted(inferred.collect(), key=repr)
+
+
 def test_endpoint_table():
     assert len(ENDPOINTS) == 11
     assert {n for n, e in ENDPOINTS.items() if e.mode == "scd1"} == {"league", "rosters", "players_raw"}
