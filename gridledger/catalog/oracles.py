@@ -405,18 +405,18 @@ oracle("one_unit_per_team_week", "unit", """
 
 CHECKS = {
     "check_team_weeks_have_starters": (
-        "reg slots", "regular team-weeks all have starters", "regular team-weeks with no started slots",
+        "reg slots", "a team of the regular season starts somebody every week", "line-ups without any starter",
         """SELECT count(*) AS bad FROM reg WHERE (season, w, roster_id) NOT IN
            (SELECT (season, w, roster_id) FROM slots WHERE is_starter)"""),
     "check_group_size": (
-        "reg", "regular matchup groups have size 2", "groups with size <> 2",
+        "reg", "a regular matchup is between two teams", "matchups of another number of teams",
         """SELECT count(*) AS bad FROM (SELECT 1 FROM reg WHERE matchup_id IS NOT NULL
            GROUP BY season, w, matchup_id HAVING count(*) <> 2)"""),
     "check_one_unit": (
-        "unit", "one started unit per team-week", "team-weeks with > 1 unit",
+        "unit", "a line-up starts at most one unit", "line-ups with several units",
         "SELECT count(*) AS bad FROM (SELECT 1 FROM unit GROUP BY season, w, roster_id HAVING count(*) > 1)"),
     "check_luck_zero_sum": (
-        "luck", "luck zero-sum per season (within 0.1/team rounding)", "seasons beyond rounding bound",
+        "luck", "luck cancels out within a season, but for rounding", "seasons whose luck does not cancel out",
         f"""SELECT count(*) AS bad FROM (SELECT {half_up('sum(luck)', 3)} AS s, count(*) AS n
             FROM luck GROUP BY season) WHERE abs(s) > 0.05 * n + 1e-9"""),
     "check_unique_current": (
