@@ -158,16 +158,21 @@ def _iban(key: str, m: Column) -> Column:
 
 
 def _phone(key: str, m: Column) -> Column:
-    """Ten digits, area and exchange from 200 to 999."""
+    """Ten digits. Area and exchange from 200 to 999 stay there, areas below 200 stay below, and so do exchanges below 200 of other areas."""
     def over(d: Column) -> Column:
         ten = F.substr(d, F.length(d) - 9, F.lit(10))
         prefix = F.substr(d, F.lit(1), F.length(d) - 10)
         area, exchange, line = (F.substr(ten, F.lit(a), F.lit(n)).cast("long") for a, n in ((1, 3), (4, 3), (7, 4)))
-        pair = feistel(key, "phone", area - 200, (exchange - 200) * 10_000 + line, F.lit(800), F.lit(8_000_000))
+        odd_area, odd_exchange = area < 200, (area >= 200) & (exchange < 200)
+        # The least area and exchange of the number's kind, and how many there are of each.
+        least_area, areas = F.when(odd_area, 0).otherwise(200), F.when(odd_area, 200).otherwise(800)
+        least_exchange = F.when(odd_area | odd_exchange, 0).otherwise(200)
+        exchanges = F.when(odd_area, 1000).when(odd_exchange, 200).otherwise(800)
+        pair = feistel(key, "phone", area - least_area, (exchange - least_exchange) * 10_000 + line, areas, exchanges * 10_000)
+        pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
         again = let(pair, lambda p: F.concat(
-            prefix, (p["l"] + 200).cast("string"), (F.floor(p["r"] / 10_000) + 200).cast("string"),
-            F.lpad((p["r"] % 10_000).cast("string"), 4, "0")))
-        return F.when((area >= 200) & (exchange >= 200), let(again, lambda n: refilled(m, n))).otherwise(m)
+            prefix, pad(p["l"] + least_area, 3), pad(F.floor(p["r"] / 10_000) + least_exchange, 3), pad(p["r"] % 10_000, 4)))
+        return let(again, lambda n: refilled(m, n))
 
     return let(F.regexp_replace(m, "[^0-9]", ""), over)
 

@@ -159,6 +159,22 @@ def test_pseudonyms_keep_the_format(spark):
     assert pseudonyms(spark, cards, "other") != found[:4]
 
 
+def test_every_phone_number_is_permuted(spark):
+    """Areas and exchanges below 200 too; each kind of number stays a kind, and different ones stay different."""
+    given = ["+1 (017) 555-7713", "+1 (136) 555-7479", "(212) 055-7713", "000-000-0000", "199-999-9999", "200-199-9999", "212-555-0187"]
+    found = pseudonyms(spark, given)
+    assert all(a != b for a, b in zip(given, found, strict=True)) and len(set(found)) == len(given)
+    assert [re.sub(r"\d", "9", a) for a in given] == [re.sub(r"\d", "9", a) for a in found]
+
+    def kind(x):
+        ten = re.sub(r"\D", "", x)[-10:]
+        return (ten[:3] < "200", ten[:3] >= "200" and ten[3:6] < "200")
+
+    assert [kind(a) for a in given] == [kind(a) for a in found]
+    many = [f"{a:03d}-{e:03d}-{n:04d}" for a in (0, 17, 199, 200, 999) for e in (0, 55, 199, 200, 999) for n in range(40)]
+    assert len(set(pseudonyms(spark, many))) == len(many)
+
+
 def test_what_is_not_valid_stays(spark):
     texts = ["4111111111111112", "300.1.1.1", "1984-02-30", "000-12-3456", "no data, 12 345", "", None, LONG]
     assert pseudonyms(spark, texts) == texts
