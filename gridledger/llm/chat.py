@@ -123,19 +123,19 @@ def _entries(pdf: pd.DataFrame) -> pd.DataFrame:
         ahead.reverse()
         state = START
         for at, (segment, c) in enumerate(zip(part["segment"], costs, strict=True)):
-            rows.append((segment, conv, state, ahead[at + 1].tolist(), at + 1 == len(costs)))
+            rows.append((segment, conv, state, ahead[at + 1].tolist(), at == 0, at + 1 == len(costs)))
             state = int(np.argmin(c[state] + ahead[at + 1]))
-    return pd.DataFrame(rows, columns=["segment", "conv", "state", "after", "ends"])
+    return pd.DataFrame(rows, columns=["segment", "conv", "state", "after", "begins", "ends"])
 
 
 def _repaired(key: tuple, pdf: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
     """The turns of one segment: a row per turn, and per inserted turn before or at the end."""
-    starts = {c: (s, np.array(a, float), e) for c, s, a, e in entries[["conv", "state", "after", "ends"]].itertuples(index=False)}
+    starts = {c: (s, np.array(a, float), b, e) for c, s, a, b, e in entries[["conv", "state", "after", "begins", "ends"]].itertuples(index=False)}
     rows = []
     for conv, part in pdf.sort_values("place").groupby("conv", sort=False, dropna=False):
         given = _given(part["role_in"])
-        state, after, ends = starts[conv]
-        last = len(given) - 1
+        state, after, begins, ends = starts[conv]
+        last, own = len(given) - 1, len(rows)
         for at, (turn, (role, action, inserted)) in enumerate(
             zip(part.itertuples(index=False), repair(given, state, after), strict=True)
         ):
@@ -146,7 +146,9 @@ def _repaired(key: tuple, pdf: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFr
             if at == last and ends:
                 closing = {SYSTEM: (USER, ASSISTANT), USER: (ASSISTANT,)}.get(role, ())
                 rows += [(turn.place, 2 + i, ROLES[r], "insert", False) for i, r in enumerate(closing)]
-    return pd.DataFrame(rows, columns=["place", "step", "role", "action", "joined"])
+        first, final = own if begins else -1, len(rows) - 1 if ends else -1
+        rows[own:] = [(*r, i == first, i == final) for i, r in enumerate(rows[own:], own)]
+    return pd.DataFrame(rows, columns=["place", "step", "role", "action", "joined", "first", "final"])
 
 
 def format_chats(
@@ -155,7 +157,7 @@ def format_chats(
     """The repaired turns: conv_id, turn, step, role_in, role, action, text, rendered.
 
     Rows of a conversation in the order (turn, place, step) concatenate to the rendered chat: `rendered` opens a turn, unless it is
-    merged into the one before, and the next row's begins with the end mark. Step 1 is the turn itself, 0 a turn inserted before it, 2
+    merged into the one before, and the next row that opens one begins with the end mark. The last row ends with it. Step 1 is the turn itself, 0 a turn inserted before it, 2
     and up turns that close the conversation.
 
     Turns are taken in order of `turn` (NULL first), then role and text; repeated rows are turns of their own and get merged.
@@ -177,13 +179,14 @@ def format_chats(
     slim = turns.select("segment", "place", "conv", "role_in")
     sums = durable(slim.groupBy("segment").applyInPandas(_matrices, "segment int, conv long, costs array<double>"))
     bucket = F.pmod("conv", F.lit(4 * tasks + 8)).alias("bucket")
-    entries = sums.groupBy(bucket).applyInPandas(_entries, "segment int, conv long, state int, after array<double>, ends boolean")
+    entries = sums.groupBy(bucket).applyInPandas(_entries, "segment int, conv long, state int, after array<double>, begins boolean, ends boolean")
     parts = slim.groupBy("segment").cogroup(entries.groupBy("segment")).applyInPandas(
-        _repaired, "place long, step int, role string, action string, joined boolean")
+        _repaired, "place long, step int, role string, action string, joined boolean, first boolean, final boolean")
     full = parts.join(turns, "place")
     said = F.when(F.col("step") == 1, F.coalesce("text", F.lit(""))).otherwise("")
-    opening = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"))
-    rendered = F.when(F.col("joined"), F.concat(F.lit("\n"), said)).otherwise(F.concat(opening, said))
+    end = lambda where: F.when(where, CLOSING).otherwise("")
+    opening = F.concat(end(~F.col("first")), F.format_string(OPENING.format(role="%s"), F.col("role")))
+    rendered = F.concat(F.when(F.col("joined"), "\n").otherwise(opening), said, end(F.col("final")))
     return full.select(
         F.col("conv_id").alias(conv_id), F.col("turn").alias(turn), "place", "step", "role_in", "role", "action", said.alias("text"),
         rendered.alias("rendered"),

@@ -135,6 +135,28 @@ def test_chats_are_legal(spark, folder, monkeypatch):
     assert chat.format_chats(given.limit(0)).count() == 0
 
 
+def test_rendered_rows_concatenate_to_the_chat(spark, folder, monkeypatch):
+    rows = [(-1, 0, "assistant", "hi"), (-2, 0, "system", None), (-3, 0, None, "a"), (-3, 0, None, "a"), (-4, 1, "user", "x"), (-4, 2, "user", "y"),
+            (None, None, "tool", ""), (-5, 0, "user", "q"), (-5, 1, "assistant", "a")]
+    rows += [(-9, i, "user" if i % 5 else "bot", f"t{i}") for i in range(500)]
+    given = spark.read.parquet(f"{folder}/conversations.parquet").union(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    monkeypatch.setattr(chat, "SEGMENT_TURNS", 100)
+    by = defaultdict(list)
+    for r in sorted(chat.format_chats(given).collect(), key=lambda r: (r.place, r.step)):
+        by[r.conv_id].append(r)
+    for turns in by.values():
+        said = []
+        for r in turns:
+            if r.action.startswith("merge"):
+                said[-1] = (said[-1][0], said[-1][1] + "\n" + r.text)
+            else:
+                said.append((r.role, r.text))
+        assert "".join(r.rendered for r in turns) == "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in said)
+    assert "".join(r.rendered for r in by[-5]) == "<|user|>\nq<|end|>\n<|assistant|>\na<|end|>\n"
+    assert "".join(r.rendered for r in by[-1]) == "<|user|>\n<|end|>\n<|assistant|>\nhi<|end|>\n"
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
