@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridledger.llm import ann, chat, html
+from gridledger.llm import ann, chat, html, langid, mixing
 from gridledger.llm.components import components
 from gridledger.llm.oracles import ORACLES
 from gridledger.llm.queries import QUERIES
@@ -181,6 +183,58 @@ def test_registered_query(spark, folder, name):
         assert (first.values == second.values).all()
 
 
+def plain_near_copies(rows):
+    """Ids left when all pairs are compared: the least of each class of texts whose 5-word sets have a Jaccard of 0.8 or more."""
+    sets = []
+    for _, text in rows:
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", words)
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                parent[root(i)] = root(j)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[root(i)].append(d)
+    return sorted(min(x) for x in least.values())
+
+
+def test_pipeline_stages_keep_what_plain_versions_keep(spark, folder):
+    """With near copies between 0.8 and 0.85, which the 4-word contract of op3 does not link."""
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    given = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    base = next(re.findall(r"\S+", t) for _, t in given if t and len(t.split()) > 400)
+    long, short = base[:100], base[200:249]
+    tail = [f"tail{chr(97 + i)}" for i in range(22)]
+    near = [(-4, " ".join(long)), (-3, " ".join(long + tail)), (-2, " ".join(short)), (-1, " ".join([*short[:24], "elsewhere", *short[25:]]))]
+    like = documents.limit(1).drop("doc_id", "text", "n_chars")
+    added = spark.createDataFrame(near, "doc_id long, text string").crossJoin(like).withColumn("n_chars", F.length("text"))
+    docs = documents.unionByName(added.select(*[F.col(f.name).cast(f.dataType) for f in documents.schema]))
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+    text = lambda df: [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+    kept = stages["ngram_jaccard"](spark, docs, folder)
+    assert ids(kept) == plain_near_copies(text(docs))
+    assert [i for i in ids(kept) if i < 0] == [-4, -2]
+
+    told = langid.identify(docs, langid.learn(docs)).select("doc_id", "lang_pred", "score").collect()
+    assert ids(stages["language_id"](spark, docs, folder)) == sorted(r.doc_id for r in told if r.lang_pred != "und" and r.score >= 0.25)
+    assert ids(stages["pii"](spark, docs, folder)) == ids(docs)
+    copies = {r.doc_id: r.copies for r in mixing.mix_sizes(docs).collect()}
+    taken = Counter(ids(stages["mixing"](spark, docs, folder)))
+    assert all(taken[d] == n for d, n in copies.items())
+    assert set(stages["packing"](spark, docs, folder).toPandas().doc_id) == set(ids(docs))
+
+
 def test_pipeline_keeps_one_of_each_text(spark, folder):
     documents = spark.read.parquet(f"{folder}/documents.parquet")
     docs = documents
