@@ -27,10 +27,25 @@ RUN = 10
 FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 250, 292  # 73,000 days
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
-SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/-]{8,200}"
+#: A secret runs to its end: a blank, a quote, a bracket, or a comma, semicolon, colon or ampersand.
+SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_+/.=~!@#$%^*?-]{8,}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-PHONE = r"(?<![\d+.-])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)"
+#: Characters of an IBAN by country (ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Of its country's length, where there is one; else as far as it goes.
+IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(
+    rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])"
+    for n, c in IBAN_LENGTHS.items()) + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+#: Any separators or none after +1; else a mark or brackets somewhere, or blanks only and an area and exchange from 200 up.
+PHONE = (
+    r"(?<![\d+.-])(?:\+1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}|(?:1[ .-]?)?(?:(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}"
+    r"|\d{3} \d{3}[.-]\d{4}|[2-9]\d{2} [2-9]\d{2} \d{4}))(?!\d)"
+)
 ABROAD = r"(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
@@ -262,8 +277,8 @@ def _access_key(key: str, m: Column) -> Column:
 def pseudonym(key: str, m: Column) -> Column:
     """Pseudonym of a match of PATTERN; a value that is not valid in its format stays as it is."""
     return (
-        F.when(m.contains("@"), _email(key, m))
-        .when(m.rlike(r"[=:]"), _secret(key, m))
+        F.when(m.rlike(r"[=:]"), _secret(key, m))
+        .when(m.contains("@"), _email(key, m))
         .when(m.rlike(r"^A[KS]IA"), _access_key(key, m))
         .when(m.rlike(r"^[A-Z]"), _iban(key, m))
         .when(m.rlike(r"^\+[2-9]"), _abroad(key, m))

@@ -175,6 +175,28 @@ def test_every_phone_number_is_permuted(spark):
     assert len(set(pseudonyms(spark, many))) == len(many)
 
 
+def test_values_are_permuted_to_their_end(spark):
+    part = "Ab3kX9qLm2" * 8
+    secrets = [f"token={part}.{part}.{part}", "api_key: " + "aB3dE6gH" * 60, "password='aaaa!bbbb=cccc~dddd'", "secret=S3cr@tP4ss.tail99 next"]
+    ibans = ["AT61 1904 3002 3457 3201 EUR", "BE68 5390 0754 7034 EUR", "DE89 3704 0044 0532 0130 00 EUR 12", "AT611904300234573201"]
+    phones = ["+1 212 555 0187", "212 555-0187", "+12125550187", "1 212 555 0187", "+1 (212) 555 0187", "212 555 0187"]
+    given = secrets + ibans + phones
+    found = pseudonyms(spark, given)
+    shape = lambda x: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", x)))
+    assert [shape(a) for a in given] == [shape(a) for a in found]
+    values = lambda x: re.findall(r"[A-Za-z0-9]{4,}", re.split("[=:]", x, maxsplit=1)[1])
+    for a, b in zip(secrets, found, strict=False):
+        assert all(x != y or x == "next" for x, y in zip(values(a), values(b), strict=True))
+    assert found[1][-60:] != given[1][-60:] and found[3].endswith(" next")
+    for a, b in zip(ibans, found[4:8], strict=True):
+        length = 16 if a.startswith("BE") else 22 if a.startswith("DE") else 20
+        body = b.replace(" ", "")[:length]
+        assert a != b and int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97 == 1
+        assert a.replace(" ", "")[length:] == b.replace(" ", "")[length:]
+    assert len({re.sub(r"\D", "", x)[-10:] for x in found[8:]}) == 1
+    assert all(a != b for a, b in zip(given, found, strict=True))
+
+
 def test_what_is_not_valid_stays(spark):
     texts = ["4111111111111112", "300.1.1.1", "1984-02-30", "000-12-3456", "no data, 12 345", "", None, LONG]
     assert pseudonyms(spark, texts) == texts
