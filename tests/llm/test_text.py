@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,21 @@ def test_jaccard_on_odd_rows(odd):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "6", "None"]
 
 
+def test_no_range_gets_a_row_of_every_document(monkeypatch):
+    """Blocks deal their documents' ids over all ranges, each block's once."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 20)
+    texts = [f"a{i} b{i} c{i} d{i} e{i}" if i % 7 else "" for i in range(4000)]
+    batches = [pa.record_batch([pa.array(range(at, at + 20)), pa.array(texts[at : at + 20])], names=["key", "text"]) for at in range(0, 4000, 20)]
+    held, seen = Counter(), []
+    for cell in jaccard._cells(4, 3, pa.int64())(iter(batches)):
+        for r, ids, prints, sizes in zip(*(cell[c].to_pylist() for c in ("range", "ids", "prints", "sizes")), strict=True):
+            assert len(ids) == len(prints) == len(sizes)
+            held[r] += len(ids)
+            seen += ids
+    assert sorted(seen) == list(range(4000)) and len(held) == 8 and max(held.values()) < 1600
+    assert jaccard.range_bits(0, 1 << 30) > 10 and jaccard.range_bits(0, 0) == 3
+
+
 def test_tiles_lose_no_link():
     rng = np.random.default_rng(3)
     base = np.sort(rng.integers(0, 2**63, 300, dtype=np.uint64))
