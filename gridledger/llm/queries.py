@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import ann, chat, html, jaccard, langid, mixing, packing, pii, quality, sharding
+from gridledger.llm import (
+    ann, chat, html, jaccard, langid, lexical, mixing, packing, pii, quality, resampling, sharding, urlfilter,
+)
 from gridledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +83,22 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best documents of every benchmark item by weighted term frequencies."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged = urlfilter.judge(table(spark, folder, "pages"), keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict", "ratio")
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's texts."""
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -92,4 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_url_filter": op12_url_filter,
+    "op13_importance_resampling": op13_importance_resampling,
 }

@@ -1,0 +1,375 @@
+"""Ranked lexical search, URL filter and importance resampling against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gridledger.llm import bytewords, lexical, resampling, urlfilter
+from gridledger.llm.oracles import ORACLES
+from gridledger.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+FOLD = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def words_of(text):
+    return WORD.findall((text or "").translate(FOLD))
+
+
+# -- bytes --------------------------------------------------------------------------------------
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aB9é ,\n日İ", max_size=12)), max_size=8)
+
+
+@given(TEXTS)
+@settings(max_examples=150, deadline=None)
+def test_words_of_a_batch(texts):
+    found = bytewords.find_words(pa.array([*texts, "tail"], pa.string()).slice(0, len(texts)))
+    got = [(int(r), found.folded[a:b].tobytes().decode()) for r, a, b in zip(found.row, found.starts, found.ends)]
+    assert got == [(i, w) for i, t in enumerate(texts) for w in words_of(t)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_hashes_of_slices(seed):
+    rng = np.random.default_rng(seed)
+    data = np.tile(rng.integers(0, 256, 3000, dtype=np.uint8), 2)
+    size = rng.choice([1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 31, 32, 33, 63, 64, 65, 200, 257, 1024, 1025, 2000], 2000)
+    at = rng.integers(0, 1000, len(size))
+    slices = [data[a : a + n].tobytes() for a, n in zip(at, size)]
+    lane = bytewords.lanes(data)
+    assert bytewords.xxh64(data, lane, at, size).tolist() == [xxhash.xxh64_intdigest(s) for s in slices]
+    assert resampling.crc32(data, at, size).tolist() == [zlib.crc32(s) for s in slices]
+    other = np.where(np.arange(len(at)) % 2, at + 3000, at + 1)
+    equal = [data[a : a + n].tobytes() == data[b : b + n].tobytes() for a, b, n in zip(at, other, size)]
+    assert bytewords.same_bytes(lane, at, other, size).tolist() == equal
+
+
+def test_equal_hashes_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(resampling, "xxh64", lambda data, lane, at, size: np.zeros(len(at), np.uint64))
+    monkeypatch.setattr(lexical, "xxh64", lambda data, lane, at, size: np.zeros(len(at), np.uint64))
+    words = bytewords.find_words(pa.array(["a b a c ab b a"]))
+    data, begin, end = bytewords.joined(words, 0, 7)
+    table = resampling.InternTable(data, begin, end - begin, 10_000)
+    assert table.count[table.slot].tolist() == [3, 2, 3, 1, 1, 2, 3]
+    assert table.bucket[table.slot].tolist() == [zlib.crc32(w) % 10_000 for w in b"a b a c ab b a".split()]
+    vocabulary = lexical.Vocabulary(["c ab", None, "a z a"])
+    found = vocabulary.look_up(words.folded, words.starts, words.ends)
+    assert [vocabulary.terms[t] if t >= 0 else None for t in found] == [b"a", None, b"a", b"c", b"ab", None, b"a"]
+
+
+# -- resampling ---------------------------------------------------------------------------------
+
+
+def plain_resampling(documents, target, percent=5, min_words=20, buckets=10_000, longest=3):
+    def features(text):
+        w = words_of(text)
+        runs = [" ".join(w[i : i + n]) for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+        return [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    raw, wanted = Counter(), Counter()
+    for _, text in documents:
+        raw.update(features(text))
+    for text in target:
+        wanted.update(features(text))
+    s, t = sum(raw.values()), sum(wanted.values())
+    gain = [
+        math.floor(1000 * math.log((wanted[b] + 1) * (s + buckets) / ((raw[b] + 1) * (t + buckets)))) for b in range(buckets)
+    ]
+    rows = []
+    for doc_id, text in documents:
+        of = features(text)
+        h = int(hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[b] for b in of)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([len(words_of(text)) >= min_words, -score, doc_id is None, doc_id or 0, len(of), weight, doc_id])
+    eligible = sorted(r for r in rows if r[0])
+    drawn = percent * len(eligible) // 100
+    ranked = [(r, i + 1 if i < drawn else None) for i, r in enumerate(eligible)] + [(r, None) for r in rows if not r[0]]
+    return sorted(((r[6], r[4], r[5], -r[1], rank) for r, rank in ranked), key=repr)
+
+
+def rows_of(df, *names):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+
+RESAMPLED = ("doc_id", "n_features", "weight", "score", "rank")
+
+
+@pytest.mark.parametrize("chunk", [3, 16_384])
+def test_resampling_equals_the_plain_version(spark, monkeypatch, chunk):
+    monkeypatch.setattr(resampling, "CHUNK_WORDS", chunk)
+    texts = [" ".join(f"w{(i * j) % 17}" for j in range(i)) for i in range(40)]
+    documents = [*enumerate(texts), (7, texts[7]), (7, texts[7]), (30, texts[30]), (30, texts[30]), (None, texts[33]),
+                 (None, None), (90, None), (91, ""), (92, " ,; "), (93, "É é E e " * 12), (94, "x" * 3000 + " y")]
+    target = ["w1 w2 w3 w4", None, "é e", "w1 W2"]
+    df = spark.createDataFrame([(i, t, "mine", 1) for i, t in documents], "doc_id long, text string, score string, weight int")
+    wanted = spark.createDataFrame([(t,) for t in target], "text string")
+    for percent in (5, 50, 100):
+        got = resampling.resample(df.repartition(5), wanted, percent=percent)
+        assert rows_of(got, *RESAMPLED) == plain_resampling(documents, target, percent)
+
+
+def test_resampling_without_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "a " * 30)], "doc_id long, text string")
+    assert resampling.resample(empty, some).count() == 0
+    got = resampling.resample(some, empty, percent=100)
+    assert rows_of(got, *RESAMPLED) == plain_resampling([(1, "a " * 30)], [], 100)
+
+
+def test_a_third_of_the_rows_are_equal(spark):
+    documents = [(i if i % 3 else 0, "a b c " * 9 + (str(i) if i % 3 else "")) for i in range(300)]
+    df = spark.createDataFrame(documents, "doc_id long, text string").repartition(7)
+    wanted = spark.createDataFrame([("a b",)], "text string")
+    got = resampling.resample(df, wanted, percent=60)
+    assert rows_of(got, *RESAMPLED) == plain_resampling(documents, ["a b"], 60)
+
+
+# -- search -------------------------------------------------------------------------------------
+
+
+def plain_search(documents, items, top=20):
+    bags = [(i, Counter(words_of(t))) for i, t in documents]
+    known = [(i, b) for i, b in bags if b]
+    n, terms = len(known), sum(sum(b.values()) for _, b in known)
+    df = Counter(t for _, b in known for t in b)
+    found = []
+    for item, text in items:
+        scores = []
+        for doc_id, bag in known:
+            size = sum(bag.values())
+            m = 100 - 25 + (25 * size * n) // terms
+            score = 0
+            for t in words_of(text):
+                if t in bag:
+                    w = math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                    score += w * ((1_000_000_000 * bag[t]) // (1000 * bag[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0, doc_id))
+        scores.sort(key=lambda s: s[:3])
+        found += [(item, r, s[3], -s[0]) for r, s in enumerate(scores[:top], 1)]
+    return sorted(found, key=repr)
+
+
+FOUND = ("item_id", "rank", "doc_id", "score")
+
+
+@pytest.mark.parametrize("shard", [1, 7, 8192])
+def test_search_equals_the_plain_version(spark, monkeypatch, shard):
+    monkeypatch.setattr(lexical, "SHARD_DOCS", shard)
+    monkeypatch.setattr(lexical, "BLOCK_BYTES", 200)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    texts = [" ".join(f"t{(i * i + j * j) % 23}" for j in range(i % 19)) for i in range(60)]
+    documents = [*enumerate(texts), (5, texts[5]), (5, texts[5]), (None, texts[18]), (None, None), (70, ""), (71, "?!"),
+                 (72, "Été T1 " * 50), (73, "t1 " * 5000)]
+    items = [(0, "t1 t2 t3"), (1, "t1 t1 T1 t4"), (2, None), (3, ""), (4, "nowhere"), (5, "été nowhere t22"), (1, "t5"),
+             (None, " ".join(f"t{i}" for i in range(23))), (9, "t2 t2 t3 t3 t3 t9 t11 t11")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in documents], "doc_id long, text string, key int").repartition(3)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    for top in (3, 20):
+        got = lexical.search(df, asked, top=top)
+        assert rows_of(got, *FOUND) == plain_search(documents, items, top)
+
+
+def test_search_without_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    asked = some.withColumnRenamed("doc_id", "item_id")
+    assert lexical.search(empty, asked).count() == 0
+    assert lexical.search(some, empty.withColumnRenamed("doc_id", "item_id")).count() == 0
+
+
+def shard_of(documents, vocabulary, rng):
+    """A shard with random impacts, and what its index would hold."""
+    postings = {t: [] for t in range(vocabulary)}
+    for d, bag in enumerate(documents):
+        for t in bag:
+            postings[t].append((d, int(rng.integers(1, 50))))
+    postings = {t: (np.array([d for d, _ in p]), np.array([i for _, i in p])) for t, p in postings.items() if p}
+    joint = {}
+    for a in postings:
+        for b in postings:
+            if a < b:
+                of_a, of_b = dict(zip(*postings[a])), dict(zip(*postings[b]))
+                joint[a, b] = max((of_a[d] + of_b[d] for d in of_a.keys() & of_b.keys()), default=0)
+    return lexical.Shard(len(documents), postings, {t: int(p[1].max()) for t, p in postings.items()}, joint)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bounds_hold_and_pairs_tighten_them(seed):
+    rng = np.random.default_rng(seed)
+    shard = shard_of([rng.choice(12, rng.integers(0, 6), replace=False).tolist() for _ in range(40)], 12, rng)
+    repeats = {int(t): int(rng.integers(1, 4)) for t in rng.choice(14, 8, replace=False)}
+    terms = sorted(t for t in repeats if t < 12)
+    pairs = list(zip(terms[::2], terms[1::2]))
+    whole = np.zeros(shard.size, np.int64)
+    for t, n in repeats.items():
+        if t in shard.postings:
+            whole[shard.postings[t][0]] += n * shard.postings[t][1]
+    for bound, unit in lexical.units_of(shard, repeats, pairs):
+        of_unit = np.zeros(shard.size, np.int64)
+        for t in unit:
+            of_unit[shard.postings[t][0]] += repeats[t] * shard.postings[t][1]
+        assert of_unit.max() <= bound <= sum(repeats[t] * shard.top[t] for t in unit)
+    for beat in (0, 1, 20, 60, int(whole.max()), int(whole.max()) + 1):
+        for with_pairs in (pairs, []):
+            docs, scores = lexical.best(shard, repeats, with_pairs, beat)
+            want = np.flatnonzero(whole >= max(1, beat))
+            order = np.argsort(docs)
+            assert docs[order].tolist() == want.tolist() and scores[order].tolist() == whole[want].tolist()
+
+
+def test_pairs_open_fewer_lists():
+    """Two terms that never meet bound each other by the larger one alone, so neither list is opened."""
+    one = np.array([100])
+    shard = lexical.Shard(3, {0: (np.array([0]), one), 1: (np.array([1]), one), 2: (np.array([2]), 3 * one)},
+                          {0: 100, 1: 100, 2: 300}, {(0, 1): 0})
+    alone = [b for b, _ in lexical.units_of(shard, {0: 1, 1: 1, 2: 1}, [])]
+    paired = [b for b, _ in lexical.units_of(shard, {0: 1, 1: 1, 2: 1}, [(0, 1)])]
+    assert (alone, paired) == ([100, 100, 300], [100, 300])
+    assert lexical.best(shard, {0: 1, 1: 1, 2: 1}, [(0, 1)], 150)[0].tolist() == [2]
+
+
+# -- URLs ---------------------------------------------------------------------------------------
+
+
+def plain_rule(url, rules=urlfilter.RULES):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match(r"[^/?#]*", rest).group().translate(FOLD)
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: len(r.name), default=None)
+
+
+def plain_text(url):
+    host, path, rule = plain_rule(url)
+    return host + path if rule is None else host[: len(host) - len(rule.host)] + "/" + path[len(rule.path) :]
+
+
+class PlainModel:
+    """Witten-Bell by recursion over dictionaries."""
+
+    def __init__(self, texts, order, support):
+        self.after, self.order = {}, order
+        for text in texts:
+            for i, byte in enumerate(text):
+                for k in range(min(i, order) + 1):
+                    self.after.setdefault(text[i - k : i], Counter())[byte] += 1
+        total = sum(self.after.get(b"", Counter()).values())
+        self.after = {c: f for c, f in self.after.items() if sum(f.values()) * support >= total}
+
+    def chance(self, context, byte):
+        shorter = self.chance(context[1:], byte) if context else 1 / 256
+        seen = self.after.get(context)
+        if seen is None:
+            return shorter
+        n, kinds = sum(seen.values()), len(seen)
+        return seen[byte] / (n + kinds) + kinds / (n + kinds) * shorter
+
+    def per_byte(self, text):
+        logs = [math.log(self.chance(text[max(0, i - self.order) : i], b)) for i, b in enumerate(text)]
+        return sum(logs) / max(1, len(logs))
+
+
+URLS = [
+    None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.NET/x", "http://internet/x", "://net/a?b",
+    "http://www.example.net/en/7#top", "http://www.example.net/en", "http://example.net/EN/1", "https://x.example.com/de/4",
+    "https://x.example.com/de?x=/de/", "https://ORG/fr/1", "https://a.org/fr/", "https://a.org/de/http://b.net/",
+    "https://é.org/日本", "https://ads.example.com/en/1", "line\nbreak://a.net/\n/x",
+]
+
+
+def test_rules_and_parts_of_urls(spark):
+    df = spark.createDataFrame(list(enumerate(URLS)), "page_id int, url string")
+    got = {r.page_id: (r.host, r.path, r.rule) for r in urlfilter.with_rules(df, "url", urlfilter.RULES).collect()}
+    for i, url in enumerate(URLS):
+        host, path, rule = plain_rule(url)
+        assert got[i] == (host, path, rule.name if rule else None), url
+
+
+@pytest.mark.parametrize("support", [50, 16_384])
+def test_url_verdicts_equal_the_plain_version(spark, support):
+    hosts = ["shop", "news", "ads-track", "casino-win", "blog.news"]
+    ends = ["example.net/en/", "example.net/fr/", "example.com/de/", "example.com/en/", "a.org/fr/", "a.org/es/"]
+    urls = [*URLS, *(f"http://{h}.{e}{n}" for n in range(12) for h in hosts for e in ends), "http://q.org/" + "z" * 5000]
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id int, url string, ratio string")
+    got = {r.page_id: r for r in urlfilter.judge(df.repartition(4), support=support).collect()}
+    texts = [plain_text(u).encode() for u in urls]
+    kinds = [plain_rule(u)[2] for u in urls]
+    held = [zlib.crc32(t) % 5 == 0 for t in texts]
+    good, bad = (
+        PlainModel([t for t, k, h in zip(texts, kinds, held) if k and k.verdict == v and not h], 5, support)
+        for v in ("allow", "block")
+    )
+    ratio = [good.per_byte(t) - bad.per_byte(t) for t in texts]
+    bins = [min(max(math.floor(r * 256) + 2048, 0), 4095) for r in ratio]
+    error = {}
+    for edge in range(4097):
+        sides = {v: [b for b, k, h in zip(bins, kinds, held) if k and k.verdict == v and h] for v in ("allow", "block")}
+        error[edge] = sum(b < edge for b in sides["allow"]) / len(sides["allow"]) + sum(
+            b >= edge for b in sides["block"]) / len(sides["block"])
+    least = [e for e, x in error.items() if abs(x - min(error.values())) < 1e-9]
+    cut = (least[len(least) // 2] - 2048) / 256
+    for i, u in enumerate(urls):
+        assert got[i].ratio == pytest.approx(ratio[i], abs=1e-9), u
+        if abs(ratio[i] - cut) > 1e-9:
+            want = kinds[i].verdict if kinds[i] else "allow" if ratio[i] >= cut else "block"
+            assert got[i].verdict == want, u
+
+
+def test_urls_without_examples(spark):
+    df = spark.createDataFrame([(1, "http://a.de/"), (2, None), (3, "http://a.net/x"), (None, "http://a.net/x")], "page_id int, url string")
+    got = sorted(((r.page_id, r.rule, r.verdict) for r in urlfilter.judge(df).collect()), key=repr)
+    assert got == [(1, None, "allow"), (2, None, "allow"), (3, "net/", "block"), (None, "net/", "block")]
+    assert urlfilter.judge(df.limit(0)).count() == 0
+
+
+def test_held_out_urls_are_told_apart(spark):
+    """Junk hosts are learned from blocked paths and found where no rule looks."""
+    rows = [(i, f"http://{h}{i % 7}.example.{t}") for i, (h, t) in enumerate(
+        [(h, t) for _ in range(40) for h in ("news", "daily", "casino-win", "free-bets")
+         for t in (("net/en/a", "org/fr/b") if h in ("news", "daily") else ("com/de/a", "net/es/b"))])]
+    rows += [(1000 + i, f"http://{h}{i % 7}.example.org/en/q") for i, h in enumerate(["news", "daily", "casino-win", "free-bets"] * 20)]
+    df = spark.createDataFrame(rows, "page_id int, url string")
+    unruled = urlfilter.judge(df).filter(F.col("rule").isNull()).collect()
+    right = [(r.verdict == "block") == ("casino" in r.host or "bets" in r.host) for r in unruled]
+    assert len(right) == 80 and sum(right) >= 76
+
+
+# -- the registered queries ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["op11_lexical_search", "op13_importance_resampling"])
+def test_query_equals_its_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    want = duck.sql(ORACLES[name])
+    got = QUERIES[name](spark, FOLDER)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows_of(got, *want.columns) == sorted(want.fetchall(), key=repr)
+
+
+def test_url_query_covers_all_pages(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    got = QUERIES["op12_url_filter"](spark, FOLDER).toPandas().set_index("page_id")
+    assert len(got) == pages.count()
+    for page_id, url in pages.select("page_id", "url").collect():
+        host, path, rule = plain_rule(url)
+        row = got.loc[page_id]
+        assert (row.host, row.path) == (host, path)
+        assert row.verdict in ("allow", "block") and (rule is None or (row.rule, row.verdict) == (rule.name, rule.verdict))
