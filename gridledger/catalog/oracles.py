@@ -505,3 +505,70 @@ oracle("publish_season_payload", "fixed setting season_stat stat bracket mgr", f
     SELECT NULL, 'manager', NULL, user_id, json_object('display_name', display_name)::VARCHAR FROM mgr
     UNION ALL
     SELECT NULL, 'def_settings_proposed', NULL, season, doc FROM settings WHERE season = (SELECT max(season) FROM settings)""")
+
+_PRICED = """
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS of_month, o_orderstatus AS status,
+           CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS price
+    FROM orders"""
+PARTS["priced"] = ("", _PRICED)
+
+# Rows below are those before the first of the peers; NULL prices come first.
+oracle("order_price_ranks", "priced", """
+    SELECT o_orderkey,
+           rank() OVER (PARTITION BY of_month ORDER BY price NULLS FIRST) AS month_rank,
+           count(*) OVER (PARTITION BY of_month, price) - 1 AS month_peers,
+           count(*) OVER (PARTITION BY of_month) AS month_orders,
+           rank() OVER (PARTITION BY status ORDER BY price NULLS FIRST) AS status_rank,
+           count(*) OVER (PARTITION BY status, price) - 1 AS status_peers,
+           count(*) OVER (PARTITION BY status) AS status_orders
+    FROM priced""")
+
+oracle("order_price_medians", "priced", """
+    SELECT of, sum(price) / count(*) AS median_price
+    FROM (SELECT of, price, row_number() OVER (PARTITION BY of ORDER BY price) AS place, count(*) OVER (PARTITION BY of) AS n
+          FROM (SELECT of_month AS of, price FROM priced UNION ALL SELECT status, price FROM priced)
+          WHERE price IS NOT NULL)
+    WHERE place IN ((n + 1) // 2, n // 2 + 1)
+    GROUP BY of""")
+
+# -- the raw zone as of its third pull -----------------------------------------------------------
+
+oracle("pulled_matchups", "side", """
+    SELECT y::VARCHAR AS season, m::INTEGER AS week, r AS roster_id, CASE WHEN partner <> r THEN least(r, partner) END AS matchup_id,
+           pts + CASE WHEN m % 4 = 0 THEN 10 ELSE 0 END AS points
+    FROM side WHERE NOT (y % 5 = 0 AND m = 7)""")
+
+oracle("pulled_rosters", "years", """
+    SELECT y::VARCHAR AS season, n_nationkey::BIGINT AS roster_id,
+           CASE WHEN n_nationkey = 3 AND y >= 1997 THEN 'u99' WHEN n_nationkey % 11 <> 7 THEN 'u' || n_nationkey END AS owner_id
+    FROM years, nation""")
+
+oracle("pulled_players", "", """
+    SELECT n_nationkey::VARCHAR AS player_id, n_name AS full_name, (2 * count(*))::VARCHAR AS position, NULL::VARCHAR AS team
+    FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+
+oracle("unreadable_documents", "years", """
+    SELECT y::VARCHAR AS season, 99::INTEGER AS week, pull::BIGINT AS pull, '[{"roster_id": 1, "league": "L' || y AS text
+    FROM years, (VALUES (1), (2), (3)) AS pulls(pull)""")
+
+# A run with a broken gate is refused as a whole.
+oracle("publication_gates", "years fm reg pick player mgr unit", """
+    , seen AS (
+        SELECT 'dim_season' AS dataset, 'fail' AS mode, 'season_present' AS rule, count(*) AS rows, 0 AS violations FROM years
+        UNION ALL SELECT 'fact_matchup', 'warn', 'points_non_negative', count(*), count(*) FILTER (points < 0) FROM fm
+        UNION ALL SELECT 'fact_matchup', 'warn', 'valid_week', count(*), count(*) FILTER (w < 1 OR w > 18) FROM fm
+        UNION ALL SELECT 'fact_matchup', 'warn', 'regular_has_opponent', count(*),
+            count(*) FILTER (is_regular AND opponent_points IS NULL) FROM fm
+        UNION ALL SELECT 'fact_draft_pick', 'warn', 'valid_auction_amount', count(*),
+            count(*) - count(*) FILTER (TRY_CAST(amount AS INTEGER) BETWEEN 0 AND 200) FROM pick
+        UNION ALL SELECT 'fact_draft_pick', 'drop', 'has_player', count(*), count(*) FILTER (player_id IS NULL) FROM pick
+        UNION ALL SELECT 'dq_matchup_group_size', 'fail', 'group_is_2', count(*), count(*) FILTER (cnt <> 2)
+            FROM (SELECT count(*) AS cnt FROM reg WHERE matchup_id IS NOT NULL GROUP BY season, w, matchup_id)
+        UNION ALL SELECT 'dq_unique_player', 'fail', 'player_unique', count(*), count(*) FILTER (cnt <> 1)
+            FROM (SELECT count(*) AS cnt FROM player GROUP BY player_id)
+        UNION ALL SELECT 'dq_unique_current_manager', 'fail', 'manager_unique', count(*), count(*) FILTER (cnt <> 1)
+            FROM (SELECT count(*) AS cnt FROM mgr GROUP BY user_id)
+        UNION ALL SELECT 'dq_one_def_per_team_week', 'fail', 'one_def', count(*), count(*) FILTER (cnt <> 1)
+            FROM (SELECT count(*) AS cnt FROM unit GROUP BY season, w, roster_id)
+    )
+    SELECT *, NOT EXISTS (SELECT 1 FROM seen WHERE mode = 'fail' AND violations > 0) AS published FROM seen""")

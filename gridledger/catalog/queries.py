@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,13 +11,16 @@ from pyspark.sql import functions as F
 
 from gridledger.functions import parsing, rules
 from gridledger.operators import cdc, chain, quality
-from gridledger.operators.ranking import medians
+from gridledger.operators.ranking import medians, with_positions
 from gridledger.operators.session import durable, tune, workspace
-from gridledger.plans import checks, gold, publish, scenario, silver
+from gridledger.plans import checks, gold, publish, refresh, scenario, silver
+from gridledger.sources import driver_documents
 from gridledger.sources.driver_tables import LeagueTables
-from gridledger.sources.landing import build_manifest
+from gridledger.sources.landing import build_manifest, write_documents
+from gridledger.sources.raw import unreadable_documents as unreadable
 from gridledger.streaming import cdc as stream_cdc
-from gridledger.streaming.ingest import append_stream
+from gridledger.streaming.pulls import ingest_pulls
+from gridledger.streaming.runs import append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +32,10 @@ SCENARIOS = {
 }
 
 
+#: Parts that the events arrive in.
+WAVES = 4
+
+
 class League(LeagueTables):
     """The bronze inputs plus the shared datasets over them.
 
@@ -86,11 +94,6 @@ class League(LeagueTables):
     def events(self) -> DataFrame:
         return self.table("events")
 
-    def event_stream(self) -> DataFrame:
-        """The events as a file stream. A stream needs a folder or a pattern, so the name is one."""
-        reader = self.spark.readStream.schema(self.events().schema)
-        return reader.parquet(f"{self.folder}/event[s].parquet")
-
     def gold_settings(self) -> DataFrame:
         """Published settings with one season missing and one empty, so that the fallback is used."""
         published = scenario.scoring_settings(self.league()).filter("season <> '1997'")
@@ -281,6 +284,36 @@ def fact_draft_pick(t: League) -> DataFrame:
     return t.picks()
 
 
+# -- ranks and medians of groups of any size -----------------------------------------------------
+
+
+def _priced_orders(t: League) -> DataFrame:
+    return t.table("orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 50 != 0, F.col("o_totalprice")).alias("price"),
+    )
+
+
+@query
+def order_price_ranks(t: League) -> DataFrame:
+    """Rank, peers and number of rows of every order among those of its month and of its status, dearest last."""
+    orders, price = _priced_orders(t), F.col("price")
+    for group, name in (("month", "month"), ("o_orderstatus", "status")):
+        orders = with_positions(orders, [group], price).select(
+            *[c for c in orders.columns], (F.col("_before") + 1).alias(f"{name}_rank"),
+            (F.col("_ties") - 1).alias(f"{name}_peers"), F.col("_total").alias(f"{name}_orders"),
+        )
+    return orders.drop("month", "o_orderstatus", "price")
+
+
+@query
+def order_price_medians(t: League) -> DataFrame:
+    """Median price per month, and of all orders of a status."""
+    orders = _priced_orders(t)
+    monthly = medians(orders, ["month"], "price", "median_price").withColumnRenamed("month", "of")
+    return monthly.unionByName(medians(orders, ["o_orderstatus"], "price", "median_price").withColumnRenamed("o_orderstatus", "of"))
+
+
 # -- metrics ------------------------------------------------------------------------------------
 
 
@@ -496,6 +529,24 @@ def reconcile_report(t: League) -> DataFrame:
     return checks.report([*verdicts, checks.check_team_weeks_have_unit(fact, units)])
 
 
+GATED = ["dim_season", "fact_matchup", "dim_player", "dim_manager", "fact_draft_pick", "dq_matchup_group_size",
+         "dq_unique_player", "dq_unique_current_manager", "dq_one_def_per_team_week"]
+
+
+@query
+def publication_gates(t: League) -> DataFrame:
+    """The audit of a run that writes these datasets: every rule with its counts, and whether the run was published."""
+    out = workspace(t.spark)
+    inputs = {
+        "bronze_league": t.league(), "bronze_matchups": t.matchups(), "bronze_rosters": t.rosters(),
+        "bronze_users": t.users(), "bronze_players_raw": t.players_raw(), "bronze_draft_picks": t.draft_picks(),
+        "silver_def_stats": t.units(),
+    }
+    with suppress(quality.ExpectationError):  # the driver's months have teams without a partner
+        refresh.refresh(t.spark, inputs, out, GATED)
+    return refresh.audits(t.spark, out).drop("run")
+
+
 # -- landing, chain, publishing -----------------------------------------------------------------
 
 
@@ -529,28 +580,86 @@ def publish_season_payload(t: League) -> DataFrame:
     )
 
 
-# -- streams: drained once into the shared folder, then read back --------------------------------
+# -- the raw zone: documents landed in three pulls, streamed after each, read as of the last -------
+
+
+def _pulled(t: League, name: str, *documents: Callable[[League, int], DataFrame]) -> tuple[str, DataFrame]:
+    """Land the documents of an endpoint pull by pull and ingest it after each. Returns the root and the bronze table."""
+    out = workspace(t.spark)
+    root = f"{out}/raw"
+    for pull in driver_documents.PULLS:
+        for make in documents:
+            write_documents(make(t, pull), f"{root}/pull={pull}")
+        tables = ingest_pulls(t.spark, root, out, [name])
+    return root, tables[f"bronze_{name}"]
 
 
 @query
-def stream_append(t: League) -> DataFrame:
+def pulled_matchups(t: League) -> DataFrame:
+    """Team-weeks of JSON documents: unchanged ones count once, changed ones as they are now, vanished ones not at all."""
+    _, rows = _pulled(t, "matchups", driver_documents.matchup_documents, driver_documents.broken_documents)
+    return silver.team_weeks(rows)
+
+
+@query
+def pulled_rosters(t: League) -> DataFrame:
+    _, rows = _pulled(t, "rosters", driver_documents.roster_documents)
+    return rows.select("season", "roster_id", "owner_id")
+
+
+@query
+def pulled_players(t: League) -> DataFrame:
+    """The dictionary: a whole file under a constant key."""
+    _, rows = _pulled(t, "players_raw", driver_documents.player_documents)
+    return silver.dim_player(rows)
+
+
+@query
+def unreadable_documents(t: League) -> DataFrame:
+    """Documents that are no JSON, pull by pull, as they are."""
+    out = workspace(t.spark)
+    for pull in driver_documents.PULLS:
+        for make in (driver_documents.matchup_documents, driver_documents.broken_documents):
+            write_documents(make(t, pull), f"{out}/pull={pull}")
+    lost = unreadable(t.spark, out, "matchups", pulls=True)
+    return lost.select(
+        "season", parsing.week_from_path(F.col("_source_file")).alias("week"),
+        parsing.pull_from_path(F.col("_source_file")).alias("pull"), F.col("_corrupt_record").alias("text"),
+    )
+
+
+# -- streams: run again and again as waves of events arrive out of order, then read back ----------
+
+
+def _streamed(t: League, run: Callable[[DataFrame, str], object]) -> str:
+    """Land the events in waves, each with events older than those before, and run a stream after each. Returns the
+    folder it worked in."""
     out = workspace(t.spark)
-    append_stream(t.event_stream(), f"{out}/rows", f"{out}/stream")
+    for wave in range(WAVES):
+        part = t.events().filter(F.pmod("event_id", F.lit(WAVES)) == wave)
+        part.write.parquet(f"{out}/landed/wave={wave}")
+        arrived = t.spark.readStream.schema(t.events().schema).parquet(f"{out}/landed/wave=*")
+        run(arrived, out)
+    return out
+
+
+@query
+def stream_append(t: League) -> DataFrame:
+    out = _streamed(t, lambda stream, out: append_stream(stream, f"{out}/rows", f"{out}/stream"))
     return t.spark.read.schema(t.events().schema).parquet(f"{out}/rows")
 
 
 @query
 def stream_scd1(t: League) -> DataFrame:
-    out = workspace(t.spark)
-    changes = t.event_stream().select("user_id", "ts", "event_type", "value")
-    stream_cdc.scd1_stream(changes, f"{out}/state", f"{out}/stream", ["user_id"], ["ts"])
-    return stream_cdc.read_scd1(t.spark, f"{out}/state", changes.schema)
+    columns = ["user_id", "ts", "event_type", "value"]
+    out = _streamed(
+        t, lambda stream, out: stream_cdc.latest_stream(stream.select(*columns), f"{out}/stream", ["user_id"], ["ts"])
+    )
+    return stream_cdc.read_latest(t.spark, f"{out}/stream", t.events().select(*columns).schema)
 
 
 @query
 def stream_scd2(t: League) -> DataFrame:
-    out = workspace(t.spark)
-    changes = t.event_stream()
     how = (["user_id"], "ts", ["event_type"])
-    stream_cdc.scd2_stream(changes, out, f"{out}/stream", *how)
-    return stream_cdc.read_scd2(t.spark, out, changes.schema, *how)
+    out = _streamed(t, lambda stream, out: stream_cdc.change_stream(stream, f"{out}/stream", *how))
+    return stream_cdc.history(t.spark, f"{out}/stream", t.events().schema, *how)

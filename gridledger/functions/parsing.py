@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridledger.schemas import ENTRIES, PLAYER, SEASON_PATTERN, STATS, WEEK_PATTERN
+from gridledger.schemas import DOCUMENT_PATTERN, ENTRIES, PLAYER, PULL_PATTERN, SEASON_PATTERN, STATS, WEEK_PATTERN
 
 
 def from_path(path: Column, pattern: str) -> Column:
@@ -21,6 +21,16 @@ def week_from_path(path: Column) -> Column:
     return from_path(path, WEEK_PATTERN).try_cast("int")
 
 
+def pull_from_path(path: Column) -> Column:
+    """Number of the pull a file came with; NULL outside a pull's folder."""
+    return from_path(path, PULL_PATTERN).try_cast("bigint")
+
+
+def document_from_path(path: Column) -> Column:
+    """What names a document in every pull: the path below the pull's folder."""
+    return from_path(path, DOCUMENT_PATTERN)
+
+
 def full_name(full: Column, first: Column, last: Column) -> Column:
     """The full name, else first and last joined; NULL when nothing is known."""
     joined = F.nullif(F.concat_ws(" ", first, last), F.lit(""))

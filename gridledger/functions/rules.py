@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
-from pyspark.sql import Window as W
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gridledger.functions.parsing import week_from_path  # noqa: F401  (a rule by name)
@@ -42,19 +41,6 @@ def is_result(result: Column, letter: str) -> Column:
     return (result == letter).cast("int")
 
 
-def median_points(points: Column, week: WindowSpec) -> Column:
-    """Exact median of a week, NULL without any score. For weeks that fit one task; see `medians`."""
-    return F.percentile(points, F.lit(0.5)).over(week)
-
-
-def all_play(points: Column, week: WindowSpec) -> tuple[Column, Column]:
-    """Wins and games against every other team of a week that fits one task; see `with_positions`."""
-    placed = week.orderBy(points)
-    peers = F.count(F.lit(1)).over(placed.rangeBetween(W.currentRow, W.currentRow))
-    total = F.count(F.lit(1)).over(week)
-    return all_play_wins(F.rank().over(placed) - 1, peers), all_play_games(total)
-
-
 def all_play_wins(before: Column, ties: Column) -> Column:
     """Teams outscored plus half a win for each other team on the same score."""
     return before + 0.5 * (ties - 1)
@@ -74,6 +60,10 @@ def luck(actual: Column, expected: Column) -> Column:
     return F.round(actual - expected, 1)
 
 
+def is_paid(amount: Column) -> Column:
+    return amount > 0
+
+
 def points_per_dollar(points: Column, amount: Column) -> Column:
     """NULL for a missing or non-positive amount; missing points count as 0."""
-    return F.when(amount > 0, F.round(F.coalesce(points, F.lit(0.0)) / amount, 2))
+    return F.when(is_paid(amount), F.round(F.coalesce(points, F.lit(0.0)) / amount, 2))

@@ -9,8 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridledger.operators.joins import join_same
-from gridledger.operators.session import durable
-from gridledger.operators.slices import HOT_ROWS, has_hot, in_hot_groups, with_slices
+from gridledger.operators.slices import RATE, cuts_of, in_cut_groups, with_slices
 
 START, END = "__START_AT", "__END_AT"
 
@@ -35,65 +34,42 @@ def scd2(
     sequence: str,
     tracked: Sequence[str],
     tiebreak: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    rate: int = RATE,
 ) -> DataFrame:
     """One row per key and period of unchanged `tracked` values: keys, tracked, start, end.
 
     Changes are placed by `sequence`, not by arrival. Of several changes with one sequence value
     the last by `tiebreak` counts (then by the tracked values). Repeats are collapsed. An open
-    period ends with NULL. Where a key has more than `hot_rows` changes it is cut into slices along
-    the sequence; values cross a cut through a table with one row per slice.
+    period ends with NULL. Changes of a key are cut into slices along the sequence, so a key may
+    have any number of them; all windows run inside a slice, on one shuffle, and a table with one
+    row per slice carries values across the cuts.
     """
     keys, tracked = list(keys), list(tracked)
-    sliced = has_hot(changes, keys, hot_rows)
-    one_per_step = scd1(
-        changes.select(*dict.fromkeys([*keys, sequence, *tracked, *tiebreak])),
-        [*keys, sequence],
-        [*tiebreak, *tracked],
-    ).select(*keys, F.col(sequence).alias("_seq"), F.struct(*tracked).alias("_now"))
-    if sliced:
-        rows = with_slices(durable(one_per_step), keys, F.col("_seq"), hot_rows)
-    else:
-        rows = one_per_step.withColumn("_slice", F.lit(0))
+    named = dict.fromkeys([*keys, *tracked, *tiebreak])
+    steps = changes.select(*named, F.col(sequence).alias("_seq"))
+    sliced = with_slices(steps, keys, "_seq", cuts_of(steps, keys, "_seq", rate))
+    newest = W.partitionBy(*keys, "_slice", "_seq").orderBy(*[F.desc(c) for c in [*tiebreak, *tracked]])
+    one_per_step = sliced.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") == 1)
+    rows = one_per_step.select(*keys, "_slice", "_seq", F.struct(*tracked).alias("_now"))
     inside = W.partitionBy(*keys, "_slice").orderBy("_seq")
-
-    compared = rows.withColumn("_before", F.lag("_now").over(inside))
-    if sliced:
-        compared = _carry_forward(rows, compared, keys)
-    starts = compared.filter(~F.col("_now").eqNullSafe(F.col("_before"))).drop("_before")
-
-    ended = starts.withColumn("_next", F.lead("_seq").over(inside))
-    if sliced:
-        ended = _carry_back(starts, ended, keys)
+    slices = W.partitionBy(*keys).orderBy("_slice")
+    of_slice = [*keys, "_slice"]
+
+    # The first row of a slice is compared with the state at the end of the slice before.
+    ends = in_cut_groups(rows).groupBy(*of_slice).agg(F.max_by("_now", "_seq").alias("_last"))
+    carried = ends.select(*of_slice, F.lag("_last").over(slices).alias("_carried"))
+    compared = join_same(rows.withColumn("_before", F.lag("_now").over(inside)), carried, of_slice)
+    starts = compared.filter(~F.col("_now").eqNullSafe(F.coalesce("_before", "_carried"))).select(*rows.columns)
+
+    # The last start of a slice ends with the first start of the slices after.
+    heads = in_cut_groups(starts).groupBy(*of_slice).agg(F.min("_seq").alias("_head"))
+    following = heads.select(*of_slice, F.lead("_head").over(slices).alias("_following"))
+    ended = join_same(starts.withColumn("_next", F.lead("_seq").over(inside)), following, of_slice)
     return ended.select(
         *keys,
         *[F.col(f"_now.{c}").alias(c) for c in tracked],
         F.col("_seq").alias(START),
-        F.col("_next").alias(END),
-    )
-
-
-def _carry_forward(rows: DataFrame, compared: DataFrame, keys: list[str]) -> DataFrame:
-    """Give the first row of a slice the state at the end of the slice before."""
-    slices = W.partitionBy(*keys).orderBy("_slice")
-    ends = in_hot_groups(rows).groupBy(*keys, "_slice").agg(F.max_by("_now", "_seq").alias("_last"))
-    carried = ends.select(*keys, "_slice", F.lag("_last").over(slices).alias("_carried"))
-    return (
-        join_same(compared, F.broadcast(carried), [*keys, "_slice"])
-        .withColumn("_before", F.coalesce("_before", "_carried"))
-        .drop("_carried")
-    )
-
-
-def _carry_back(starts: DataFrame, ended: DataFrame, keys: list[str]) -> DataFrame:
-    """Give the last start of a slice the first start of the slices after."""
-    slices = W.partitionBy(*keys).orderBy("_slice")
-    heads = in_hot_groups(starts).groupBy(*keys, "_slice").agg(F.min("_seq").alias("_head"))
-    following = heads.select(*keys, "_slice", F.lead("_head").over(slices).alias("_following"))
-    return (
-        join_same(ended, F.broadcast(following), [*keys, "_slice"])
-        .withColumn("_next", F.coalesce("_next", "_following"))
-        .drop("_following")
+        F.coalesce("_next", "_following").alias(END),
     )
 
 

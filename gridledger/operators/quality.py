@@ -33,6 +33,12 @@ def violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return df.agg(*_counts(rules)).select(F.inline(entries))
 
 
+def watch(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, Observation]:
+    """The same rows; `rows` and the violations of every rule are counted by the job that computes them."""
+    observation = Observation()
+    return df.observe(observation, *_counts(rules)), observation
+
+
 def expect(
     df: DataFrame, rules: dict[str, str], mode: str = "warn"
 ) -> tuple[DataFrame, Observation | None]:
@@ -46,12 +52,8 @@ def expect(
         return df, None
     if mode not in ("warn", "drop"):
         raise ValueError(f"unknown mode: {mode}")
-    observation = Observation()
-    observed = df.observe(observation, *_counts(rules))
-    if mode == "drop":
-        for rule in rules.values():
-            observed = observed.filter(holds(rule))
-    return observed, observation
+    observed, observation = watch(df, rules)
+    return keep_valid(observed, rules) if mode == "drop" else observed, observation
 
 
 def keep_valid(df: DataFrame, rules: dict[str, str]) -> DataFrame:

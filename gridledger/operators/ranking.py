@@ -1,4 +1,4 @@
-"""Ranks, tie counts and exact medians inside groups of any size."""
+"""Ranks, tie counts and exact medians inside groups of any size. Plans are lazy: nothing runs while they are built."""
 
 from __future__ import annotations
 
@@ -8,83 +8,85 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gridledger.functions.bits import ordered_bits
 from gridledger.operators.joins import join_same
-from gridledger.operators.session import durable
-from gridledger.operators.slices import HOT_ROWS, has_hot, in_hot_groups, with_slices
+from gridledger.operators.slices import RATE, cuts_of, in_cut_groups, with_slices
 
 EARLIER = (W.unboundedPreceding, -1)
-# An exact percentile keeps the distinct values of a group in memory, so it gets a lower limit.
-MEDIAN_ROWS = 1_000_000
+#: Bits that a round of the selection of a median looks at.
+DIGIT_BITS = 16
 
 
-def value_positions(
-    df: DataFrame, group: Sequence[str], order: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """One row per distinct value of a group: `_value`, `_ties`, `_before`, `_total`, by slices.
+def value_positions(df: DataFrame, group: Sequence[str], order: Column, rate: int = RATE) -> DataFrame:
+    """One row per distinct value of a group: `_value`, `_ties`, `_before`, `_total`.
 
-    Equal values are counted before the first shuffle, so heavy ties cost one row.
+    Equal values are counted before the first shuffle, so heavy ties cost one row. Sums run in two levels: over the values
+    of a slice, and over the slices of a group.
     """
-    values = durable(df.groupBy(*group, order.alias("_value")).agg(F.count(F.lit(1)).alias("_ties")))
-    sliced = with_slices(values, group, F.col("_value"), hot_rows)
-    whole = W.partitionBy(*group, "_slice")
+    values = df.groupBy(*group, order.alias("_value")).agg(F.count(F.lit(1)).alias("_ties"))
+    cuts = cuts_of(values, group, "_value", rate, among=F.col("_ties"))
+    sliced = with_slices(values, group, "_value", cuts)
     rows = F.sum("_ties")
+    inside = W.partitionBy(*group, "_slice")
     local = sliced.select(
         "*",
-        F.coalesce(rows.over(whole.orderBy("_value").rowsBetween(*EARLIER)), F.lit(0)).alias("_local"),
-        rows.over(whole).alias("_slice_total"),
+        F.coalesce(rows.over(inside.orderBy("_value").rowsBetween(*EARLIER)), F.lit(0)).alias("_local"),
+        rows.over(inside).alias("_slice_total"),
     )
-    across = W.partitionBy(*group)
     in_slice = F.sum("_slice_rows")
-    offsets = (
-        in_hot_groups(sliced).groupBy(*group, "_slice").agg(rows.alias("_slice_rows"))
-        .select(
-            *group, "_slice",
-            in_slice.over(across.orderBy("_slice").rowsBetween(*EARLIER)).alias("_offset"),
-            in_slice.over(across).alias("_group_total"),
-        )
+    slices = W.partitionBy(*group)
+    offsets = in_cut_groups(sliced).groupBy(*group, "_slice").agg(rows.alias("_slice_rows")).select(
+        *group, "_slice",
+        in_slice.over(slices.orderBy("_slice").rowsBetween(*EARLIER)).alias("_offset"),
+        in_slice.over(slices).alias("_group_total"),
     )
-    return join_same(local, F.broadcast(offsets), [*group, "_slice"]).select(
+    return join_same(local, offsets, [*group, "_slice"]).select(
         *group, "_value", "_ties",
         (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias("_before"),
         F.coalesce("_group_total", "_slice_total").alias("_total"),
     )
 
 
-def with_positions(
-    df: DataFrame, group: Sequence[str], order: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_positions(df: DataFrame, group: Sequence[str], order: Column, rate: int = RATE) -> DataFrame:
     """Add to every row how many rows of its group sort before it (`_before`), share its place
     (`_ties`, itself included), and there are (`_total`). NULL sorts first."""
-    if has_hot(df, group, hot_rows):
-        keyed = df.withColumn("_value", order)
-        found = value_positions(df, group, order, hot_rows)
-        return join_same(keyed, found, [*group, "_value"], "inner").select(
-            *df.columns, "_before", "_ties", "_total"
-        )
-    # One sort serves all three: rows before, rows on the same place, rows of the group.
-    placed = W.partitionBy(*group).orderBy("_value")
-    one = F.lit(1)
-    return df.withColumn("_value", order).select(
-        *df.columns,
-        (F.rank().over(placed) - 1).cast("bigint").alias("_before"),
-        F.count(one).over(placed.rangeBetween(W.currentRow, W.currentRow)).alias("_ties"),
-        F.count(one).over(placed.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("_total"),
+    found = value_positions(df, group, order, rate)
+    return join_same(df.withColumn("_value", order), found, [*group, "_value"], "inner").select(
+        *df.columns, "_before", "_ties", "_total"
     )
 
 
-def medians(
-    df: DataFrame, group: Sequence[str], value: str, name: str, hot_rows: int = MEDIAN_ROWS
-) -> DataFrame:
-    """Exact median per group: the mean of the two middle values for an even count. NULLs are left out."""
-    known = df.filter(F.col(value).isNotNull())
-    if not has_hot(known, group, hot_rows):
-        return known.groupBy(*group).agg(F.percentile(value, F.lit(0.5)).alias(name))
-    found = value_positions(known, group, F.col(value), hot_rows)
+def medians(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact median per group: the mean of the two middle values for an even count. NULLs are left out, NaN is the largest.
 
-    def value_at(index: Column) -> Column:
-        holds = (F.col("_before") <= index) & (index < F.col("_before") + F.col("_ties"))
-        return F.max(F.when(holds, F.col("_value")))
+    Selection by radix. Values are counted by ever fewer leading bits of a number in the same order; then, from the top, a
+    round keeps the one or two prefixes that hold the middle and goes on inside them. No group is sorted, a round's window
+    sees at most 2^16 counts, and equal values are one count from the first shuffle on.
+    """
+    known = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
+    counts = known.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_p0", ordered_bits(F.col("_v")))
+    levels = [counts]  # the last level has the fewest bits
+    for level in range(1, 64 // DIGIT_BITS):
+        prefix = F.shiftright(F.col(f"_p{level - 1}"), DIGIT_BITS).alias(f"_p{level}")
+        levels.append(levels[-1].groupBy(*group, prefix).agg(F.sum("_n").alias("_n")))
 
-    low = value_at(F.floor((F.col("_total") - 1) / 2))
-    high = value_at(F.floor(F.col("_total") / 2))
-    return found.groupBy(*group).agg(((low + high) / 2).alias(name))
+    top = len(levels) - 1
+    whole = W.partitionBy(*group)
+    total = F.sum("_n").over(whole)
+    # Places counted from 0 of the two middle values; inside a prefix they are counted from its first value.
+    rows = levels[top].select("*", F.floor((total - 1) / 2).alias("_low"), F.floor(total / 2).alias("_high"))
+    for level in range(top, -1, -1):
+        outer = [*group] if level == top else [*group, f"_p{level + 1}"]
+        if level < top:
+            prefix = F.shiftright(F.col(f"_p{level}"), DIGIT_BITS)
+            rows = join_same(levels[level].withColumn(f"_p{level + 1}", prefix), rows, outer, "inner")
+        before = F.coalesce(F.sum("_n").over(W.partitionBy(*outer).orderBy(f"_p{level}").rowsBetween(*EARLIER)), F.lit(0))
+        rows = rows.withColumn("_before", before)
+        for place in ("_low", "_high"):
+            rows = rows.withColumn(place, F.col(place) - F.col("_before"))
+        holds_low, holds_high = (F.col(place).between(0, F.col("_n") - 1) for place in ("_low", "_high"))
+        rows = rows.filter(holds_low | holds_high)
+        if level:
+            rows = rows.select(*group, f"_p{level}", "_low", "_high")
+    low, high = (F.max(F.when(holds, F.col("_v"))) for holds in (holds_low, holds_high))
+    return rows.groupBy(*group).agg(((low + high) / 2).alias(name))

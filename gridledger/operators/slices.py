@@ -1,21 +1,14 @@
-"""Order-preserving slices of hot groups.
+"""Order-preserving slices of groups of any size, in one lazy plan.
 
-A window over a group puts the whole group into one task. That is fine up to a checked size. Beyond
-it, the rows of the group are cut into slices along the window order; the window runs inside a slice
-and a small table with one row per slice carries values across the cuts.
+A window over a group puts the whole group into one task. Here a group is cut at some of its own values, and the window runs
+inside a slice. Values become cuts by their hash, one of `rate` on average, so
 
-* `has_hot` counts rows per group (map-side combined, key columns only) and decides between the plain
-  window and the slices.
-* A group is sliced when it has more than `hot_rows` rows and more than 1/MAX_HOT of all rows, so
-  fewer than MAX_HOT groups are sliced whatever the data.
-* A sliced group gets at most CELLS cut points. They are picked by hash, so they depend on the data
-  only: a task that is run again cuts at the same places.
-* The cut table therefore has fewer than MAX_HOT * CELLS values. That bound is what makes its
-  broadcast safe.
+* nothing is counted and no job runs while a query is defined: the rule is the same for every group,
+* a group has as many slices as its size asks for, and a slice has about `rate` different values,
+* a task that is run again cuts at the same places.
 
-Tables with one row per slice of the hot groups have the same bound and are broadcast as well.
-
-Callers pass tables or materialized rows: the input is read once for the check and once for the work.
+Groups of fewer than `rate` values mostly have no cut at all and stay whole. The cuts of a group are one sorted array, found
+by its rows through a join on the group; where no group has a cut, adaptive execution drops that join.
 """
 
 from __future__ import annotations
@@ -26,52 +19,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.operators.joins import join_same
-from gridledger.operators.session import durable
-
-HOT_ROWS = 5_000_000
-MAX_HOT = 4096
-CELLS = 64
-
-
-def group_sizes(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
 
+#: One of so many different values of a group becomes a cut.
+RATE = 65_536
 
-def has_hot(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    return not group_sizes(df, group).filter(F.col("_rows") > hot_rows).isEmpty()
 
-
-def with_slices(
-    df: DataFrame, group: Sequence[str], order: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add `_slice`: rising from 0 along `order` inside a hot group, -1 everywhere else. Materialized."""
-    keyed = df.select(*group, order.alias("_order"))
-    sizes = group_sizes(df, group)
-    share = sizes.agg(F.sum("_rows") / MAX_HOT).scalar()
-    hot = sizes.filter((F.col("_rows") > hot_rows) & (F.col("_rows") > share)).select(*group)
-    cuts = (
-        join_same(keyed, F.broadcast(hot), group, "left_semi")
-        .groupBy(*group, F.pmod(F.xxhash64("_order"), F.lit(CELLS)).alias("_cell"))
-        .agg(F.min_by("_order", F.xxhash64(F.lit(1), "_order")).alias("_cut"))
-        .groupBy(*group)
-        .agg(F.sort_array(F.collect_set("_cut")).alias("_cuts"))
-    )
-    return durable(
-        join_same(df, F.broadcast(cuts), group)
-        .withColumn("_slice", F.coalesce(cuts_below(F.col("_cuts"), order), F.lit(-1)))
+def with_slices(df: DataFrame, group: Sequence[str], order: str, cuts: DataFrame) -> DataFrame:
+    """Add `_slice`: how many cuts of the row's group lie at or below its value of `order`; -1 in a group without cuts."""
+    return (
+        join_same(df, cuts, group)
+        .withColumn("_slice", F.coalesce(cuts_upto(F.col("_cuts"), F.col(order)), F.lit(-1)))
         .drop("_cuts")
     )
 
 
-def in_hot_groups(sliced: DataFrame) -> DataFrame:
+def in_cut_groups(sliced: DataFrame) -> DataFrame:
     return sliced.filter(F.col("_slice") >= 0)
 
 
-def cuts_below(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts are below the value, by halving; NULL without cuts."""
-    steps = F.array(*[F.lit(CELLS >> i) for i in range(CELLS.bit_length())])
+def cuts_of(df: DataFrame, group: Sequence[str], order: str, rate: int = RATE, among: Column | None = None) -> DataFrame:
+    """One row per group that is cut: `_cuts`, sorted. `among` may be a count of at least 1 that a preceding aggregate has
+    made: it keeps the choice above that aggregate, so that its shuffled rows are read again instead of computed again."""
+    chance = F.pmod(F.xxhash64(*group, order), F.lit(rate))
+    picked = df.filter((chance if among is None else chance * among) == 0)
+    return picked.groupBy(*group).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
+
+
+def cuts_upto(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts are at most the value, by halving; NULL without cuts. A NULL value lies before all."""
+    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
 
     def advance(found: Column, step: Column) -> Column:
-        return F.when(F.get(cuts, found + step - 1) < value, found + step).otherwise(found)
+        return F.when(F.get(cuts, found + step - 1) <= value, found + step).otherwise(found)
 
     return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), advance))

@@ -17,6 +17,8 @@ STAT_KEYS = [
 # Path patterns, the id of an empty starter slot, the id form of a team unit.
 SEASON_PATTERN = r"season=(\d{4})"
 WEEK_PATTERN = r"week=(\d+)"
+PULL_PATTERN = r"pull=(\d+)/"
+DOCUMENT_PATTERN = r"pull=\d+/(.*)$"
 EMPTY_SLOT = "0"
 UNIT_PATTERN = "^[A-Z]+$"
 
@@ -51,6 +53,9 @@ PLAYER = "full_name string, first_name string, last_name string, position string
 ENTRIES = "map<string, string>"
 STATS = "map<string, string>"
 
+# Newest first: the ingest time; files of one micro-batch share it and are told apart by their own.
+SEQUENCE = ("_ingest_ts", "_file_ts", "_source_file")
+
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 

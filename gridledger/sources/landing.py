@@ -1,16 +1,44 @@
-"""What was landed: the manifest of a pull, and the check of landed files against it."""
+"""Landing documents, the manifest of a pull, and the check of what was landed against it."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridledger.functions.parsing import season_from_path
 from gridledger.schemas import MANIFEST
 
+
+def _uri(path: str) -> str:
+    return path if "://" in path else Path(path).absolute().as_uri()
+
+
+def write_documents(documents: DataFrame, root: str) -> None:
+    """Land every row (`path`, `text`) as a file of its own under the root. The executors write them.
+
+    A file appears whole: it is written under a name that Spark's sources do not see, then moved. A task that is run again
+    writes the same files again.
+    """
+    uri = _uri(root)
+
+    def write(rows: Iterator[Row]) -> None:
+        files, base = FileSystem.from_uri(uri)
+        for row in rows:
+            folder = f"{base}/{row.path}".rpartition("/")[0]
+            files.create_dir(folder, recursive=True)
+            hidden = f"{folder}/_{uuid.uuid4().hex}"
+            with files.open_output_stream(hidden) as out:
+                out.write(row.text.encode("utf-8"))
+            files.move(hidden, f"{base}/{row.path}")
+
+    documents.select("path", "text").foreachPartition(write)
+
+
 def build_manifest(bronze: dict[str, DataFrame]) -> DataFrame:
     """Per season: files, weeks with matchups, weeks with transactions, transactions, picks, stat weeks.
 
@@ -47,8 +75,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     Spark's file sources skip names that begin with an underscore, and the manifest's does. It holds
     one line per season, so it is opened here and handed over as one value.
     """
-    uri = path if "://" in path else Path(path).absolute().as_uri()
-    filesystem, name = FileSystem.from_uri(uri)
+    filesystem, name = FileSystem.from_uri(_uri(path))
     with filesystem.open_input_stream(name) as stream:
         text = stream.read().decode("utf-8")
     document = spark.createDataFrame([(text,)], "text string")

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from gridledger.functions.parsing import numbers, season_from_path, week_from_path
+from gridledger.functions.parsing import (
+    document_from_path, numbers, pull_from_path, season_from_path, week_from_path,
+)
 from gridledger.schemas import BINARY_FILE, ENDPOINTS, Endpoint
 
 ROOT_SETTING = "gridledger.raw_root"
@@ -91,10 +93,21 @@ def read_endpoint(
     infer: bool = False,
     snapshot: bool = False,
 ) -> DataFrame:
-    """Rows of one endpoint with audit columns. `infer` (batch only) takes types from the files.
+    """Rows of one endpoint with audit columns. `infer` (batch only) takes types from the files. Of pulls also `_pull` and
+    `_document`, the file's path below its pull.
 
     A document that is no JSON gives no row here; `unreadable_documents` has it.
     """
+    rows = _read(spark, root, name, streaming, pulls, infer, snapshot)
+    if not pulls:
+        return rows
+    path = F.col("_source_file")
+    return rows.withColumns({"_pull": pull_from_path(path), "_document": document_from_path(path)})
+
+
+def _read(
+    spark: SparkSession, root: str, name: str, streaming: bool, pulls: bool, infer: bool, snapshot: bool
+) -> DataFrame:
     endpoint: Endpoint = ENDPOINTS[name]
     if endpoint.schema is None:
         return read_blobs(spark, f"{root}/{endpoint.glob(pulls)}", endpoint.text_column, streaming, snapshot)

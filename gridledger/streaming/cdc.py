@@ -1,108 +1,94 @@
-"""Latest state and version history kept up to date by a stream."""
+"""Latest state and version history kept up to date by a stream, in Spark's own state store.
+
+A stream is an aggregate: the newest change per key. Spark keeps it on the executors in RocksDB, uploads what a micro-batch has
+changed with the checkpoint, and restores a lost executor's part from there. A micro-batch reads and writes its own keys and no
+others, a batch that dies is run again, and a change that arrives twice or late changes nothing that is newer. The result is
+read from the checkpoint through the `statestore` source.
+
+For a version history the key is (key, sequence), so the state is the set of changes, each in its place however late it came;
+the periods are a window over it (`operators.cdc.scd2`), computed when the history is read.
+
+The number of state partitions is `spark.sql.shuffle.partitions` when a stream first runs, and stays.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from gridledger.operators.cdc import scd1, scd2
-from gridledger.streaming.state import BUCKETS, BucketedState, buckets_of, read_if_there, with_bucket
-
-
-def run_available(stream: DataFrame, checkpoint: str, fold) -> StreamingQuery:
-    """Process what is there in micro-batches, then stop."""
-    started = (
-        stream.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+from gridledger.operators.cdc import scd2
+
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def latest_stream(stream: DataFrame, checkpoint: str, keys: Sequence[str], sequence: Sequence[str]) -> StreamingQuery:
+    """Fold what is there into the latest row per key, then stop. Later columns of the sequence break ties; of rows that are
+    equal in all of them any one is kept."""
+    row = F.struct(*stream.columns)
+    latest = stream.groupBy(*keys).agg(F.max_by(row, F.struct(*sequence)).alias("row"))
+    spark = stream.sparkSession
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
+    try:
+        started = (
+            latest.writeStream.format("noop").outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     started.awaitTermination()
     return started
 
 
-def scd1_stream(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    sequence: Sequence[str],
-    buckets: int = BUCKETS,
-) -> StreamingQuery:
-    """Keep the latest row per key under `path`."""
-    schema = stream.schema
+def read_latest(spark: SparkSession, checkpoint: str, schema: StructType) -> DataFrame:
+    """The latest rows as of the last finished micro-batch; none before the first."""
+    try:
+        state = spark.read.format("statestore").load(checkpoint)
+    except PySparkException as error:
+        if error.getCondition() != "STDS_COMMITTED_BATCH_UNAVAILABLE":
+            raise
+        return spark.createDataFrame([], schema)
+    newest = state.schema["value"].dataType.names[0]  # the row; what it was chosen by comes after it
+    return state.select(F.col(f"value.{newest}").alias("row")).select("row.*")
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        state = BucketedState(batch.sparkSession, path, schema)
-        if state.has(batch_id):
-            return
-        changes = batch.persist()
-        touched = buckets_of(with_bucket(changes, keys, buckets))
-        merged = scd1(state.rows(touched).unionByName(changes), keys, sequence)
-        state.replace(with_bucket(merged, keys, buckets), touched, batch_id)
-        changes.unpersist()
 
-    return run_available(stream, checkpoint, fold)
+def change_stream(
+    stream: DataFrame, checkpoint: str, keys: Sequence[str], sequence: str, tracked: Sequence[str], tiebreak: Sequence[str] = ()
+) -> StreamingQuery:
+    """Fold what is there into the changes of a version history: of one key and sequence value the last by `tiebreak`,
+    then by the tracked values."""
+    changes = stream.select(*dict.fromkeys([*keys, sequence, *tracked, *tiebreak]))
+    return latest_stream(changes, checkpoint, [*keys, sequence], [*tiebreak, *tracked])
 
 
-def read_scd1(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return BucketedState(spark, path, schema).rows()
+def read_changes(
+    spark: SparkSession, checkpoint: str, schema: StructType, keys: Sequence[str], sequence: str, tracked: Sequence[str],
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    columns = dict.fromkeys([*keys, sequence, *tracked, *tiebreak])
+    return read_latest(spark, checkpoint, StructType([schema[c] for c in columns]))
 
 
-def scd2_stream(
-    stream: DataFrame,
-    path: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    sequence: str,
-    tracked: Sequence[str],
+def history(
+    spark: SparkSession, checkpoint: str, schema: StructType, keys: Sequence[str], sequence: str, tracked: Sequence[str],
     tiebreak: Sequence[str] = (),
-    buckets: int = BUCKETS,
-) -> StreamingQuery:
-    """Keep the periods per key under `path`.
-
-    All changes are logged. A batch rebuilds the history of the buckets it touches from the log, so
-    a change that arrives late still takes the place its sequence gives it.
-    """
-    columns = list(dict.fromkeys([*keys, sequence, *tracked, *tiebreak]))
-    log_schema = StructType([stream.schema[c] for c in columns])
-    logged = StructType([*log_schema]).add("batch", "long").add("bucket", "integer")
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = BucketedState(spark, f"{path}/history", history_schema(log_schema, keys, sequence, tracked))
-        if state.has(batch_id):
-            return
-        changes = with_bucket(batch.select(*columns), keys, buckets)
-        changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/log/batch={batch_id}")
-        log = read_if_there(spark, f"{path}/log", logged).filter(F.col("batch") <= batch_id)
-        touched = buckets_of(log.filter(F.col("batch") == batch_id))
-        known = log.filter(F.col("bucket").isin(touched)).select(*columns)
-        history = scd2(known, keys, sequence, tracked, tiebreak)
-        state.replace(with_bucket(history, keys, buckets), touched, batch_id)
-
-    return run_available(stream, checkpoint, fold)
-
-
-def history_schema(
-    changes: StructType, keys: Sequence[str], sequence: str, tracked: Sequence[str]
-) -> StructType:
-    fields = StructType([changes[c] for c in [*keys, *tracked]])
-    kind = changes[sequence].dataType
-    return fields.add("__START_AT", kind).add("__END_AT", kind)
-
-
-def read_scd2(
-    spark: SparkSession,
-    path: str,
-    changes: StructType,
-    keys: Sequence[str],
-    sequence: str,
-    tracked: Sequence[str],
 ) -> DataFrame:
-    schema = history_schema(changes, keys, sequence, tracked)
-    return BucketedState(spark, f"{path}/history", schema).rows()
+    """The periods per key over all changes folded so far."""
+    changes = read_changes(spark, checkpoint, schema, keys, sequence, tracked, tiebreak)
+    return scd2(changes, keys, sequence, tracked, tiebreak)

@@ -9,92 +9,64 @@ from pyspark.sql.types import StructType
 
 from gridledger.operators.cdc import scd1
 from gridledger.plans import silver
-from gridledger.schemas import ENDPOINTS
-from gridledger.sources.raw import read_endpoint, snapshot
-from gridledger.streaming.cdc import read_scd1, read_scd2, scd1_stream, scd2_stream
-from gridledger.streaming.state import BucketedState, buckets_of, read_if_there, with_bucket
+from gridledger.schemas import ENDPOINTS, SEQUENCE
+from gridledger.sources.raw import raw_root, read_endpoint, snapshot
+from gridledger.streaming.cdc import change_stream, history, latest_stream, read_latest
+from gridledger.streaming.pulls import ingest_pulls, table_path
+from gridledger.streaming.runs import append_stream, read_if_there
 
-# Newest pull wins; files of one micro-batch share the ingest time and are told apart by their own.
-SEQUENCE = ("_ingest_ts", "_file_ts", "_source_file")
-STATE_BUCKETS = 16
 
+def bronze_schema(spark: SparkSession, root: str, name: str) -> StructType:
+    return StructType([*read_endpoint(spark, root, name).schema])
 
-def table_path(out: str, name: str) -> str:
-    return f"{out}/bronze_{name}"
 
+def stream_path(out: str, name: str) -> str:
+    return f"{out}/_streams/{name}"
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str):
-    """Append new rows exactly once, then stop."""
-    started = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    started.awaitTermination()
-    return started
 
-
-def bronze_schema(spark: SparkSession, root: str, name: str, pulls: bool = False) -> StructType:
-    return read_endpoint(spark, root, name, pulls=pulls).schema
-
-
-def run_endpoint(spark: SparkSession, root: str, out: str, name: str, pulls: bool = False):
-    """Bring the bronze table of one endpoint up to date."""
+def run_endpoint(spark: SparkSession, root: str, out: str, name: str):
+    """Bring the bronze table of one endpoint up to date with new files."""
     endpoint = ENDPOINTS[name]
-    stream = read_endpoint(spark, root, name, pulls=pulls)
-    path, checkpoint = table_path(out, name), f"{out}/_streams/{name}"
+    stream = read_endpoint(spark, root, name)
     if endpoint.mode == "scd1":
-        return scd1_stream(stream, path, checkpoint, endpoint.keys, SEQUENCE, STATE_BUCKETS)
-    return append_stream(stream, path, checkpoint)
+        return latest_stream(stream, stream_path(out, name), endpoint.keys, SEQUENCE)
+    return append_stream(stream, table_path(out, name), stream_path(out, name))
 
 
-def refresh_in_place(spark: SparkSession, root: str, out: str, name: str, run_id: int) -> None:
-    """Fold documents overwritten in place into a latest-state table.
+def read_bronze(spark: SparkSession, root: str, out: str, name: str) -> DataFrame:
+    schema = bronze_schema(spark, root, name)
+    if ENDPOINTS[name].mode == "scd1":
+        return read_latest(spark, stream_path(out, name), schema)
+    return read_if_there(spark, table_path(out, name), schema)
+
 
-    Every file is read as it is now and sequenced by its modification time. Unchanged files leave
-    the state as it is, so the run can be repeated. `run_id` must rise from run to run; runs and
-    streams must not be mixed on one table.
-    """
+def read_in_place(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The bronze rows of an endpoint whose documents are overwritten in place, which no file stream would see: every document
+    as it is now, of keyed endpoints the row of the newest file per key. There is no state, so the read can be repeated."""
     endpoint = ENDPOINTS[name]
-    if endpoint.mode != "scd1":
-        raise ValueError(f"{name} is an append table")
     rows = snapshot(spark, root, name)
-    state = BucketedState(spark, table_path(out, name), rows.schema)
-    if state.has(run_id):
-        return
-    touched = buckets_of(with_bucket(rows, endpoint.keys, STATE_BUCKETS))
-    merged = scd1(state.rows(touched).unionByName(rows), endpoint.keys, ["_file_ts", "_source_file"])
-    state.replace(with_bucket(merged, endpoint.keys, STATE_BUCKETS), touched, run_id)
-
-
-def read_bronze(spark: SparkSession, root: str, out: str, name: str, pulls: bool = False) -> DataFrame:
-    schema = bronze_schema(spark, root, name, pulls)
-    if ENDPOINTS[name].mode == "scd1":
-        return read_scd1(spark, table_path(out, name), schema)
-    return read_if_there(spark, table_path(out, name), schema)
+    return scd1(rows, endpoint.keys, ["_file_ts", "_source_file"]) if endpoint.mode == "scd1" else rows
 
 
 def ingest(
-    spark: SparkSession, root: str, out: str, names: Iterable[str] = ENDPOINTS, pulls: bool = False
+    spark: SparkSession, root: str | None, out: str, names: Iterable[str] = ENDPOINTS, pulls: bool = False
 ) -> dict[str, DataFrame]:
-    """Run the endpoints one after another and return their bronze tables."""
+    """Bring the bronze tables up to date and return them. `pulls`: the zone holds every pull in a folder of its own."""
+    root = raw_root(spark, root)
+    if pulls:
+        return ingest_pulls(spark, root, out, names)
     tables = {}
     for name in names:
-        run_endpoint(spark, root, out, name, pulls)
-        tables[f"bronze_{name}"] = read_bronze(spark, root, out, name, pulls)
+        run_endpoint(spark, root, out, name)
+        tables[f"bronze_{name}"] = read_bronze(spark, root, out, name)
     return tables
 
 
-def run_dim_manager(spark: SparkSession, root: str, out: str, pulls: bool = False) -> DataFrame:
-    """Keep the manager history from the stream of the bronze users table, and return it."""
-    schema = bronze_schema(spark, root, "users", pulls)
-    users = spark.readStream.schema(schema).parquet(table_path(out, "users"))
+def run_dim_manager(spark: SparkSession, root: str, out: str) -> DataFrame:
+    """Keep the changes of manager names from the stream of the bronze users table, and return the history."""
+    users = spark.readStream.schema(bronze_schema(spark, root, "users")).parquet(table_path(out, "users"))
     changes = silver.manager_changes(users)
-    path, how = f"{out}/dim_manager_history", (
-        silver.MANAGER_KEYS, silver.MANAGER_SEQUENCE, silver.MANAGER_TRACKED
-    )
-    tiebreak = silver.manager_tiebreak(users)
-    scd2_stream(changes, path, f"{out}/_streams/dim_manager", *how, tiebreak, STATE_BUCKETS)
-    return read_scd2(spark, path, changes.schema, *how)
+    how = (silver.MANAGER_KEYS, silver.MANAGER_SEQUENCE, silver.MANAGER_TRACKED, silver.manager_tiebreak(users))
+    checkpoint = stream_path(out, "dim_manager")
+    change_stream(changes, checkpoint, *how)
+    return history(spark, checkpoint, changes.schema, *how)

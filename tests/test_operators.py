@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import statistics
+import struct
+import uuid
 from collections import defaultdict
 
 import pytest
@@ -8,11 +11,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gridledger.functions.bits import ordered_bits
 from gridledger.operators import cdc, quality
 from gridledger.operators.chain import season_chain
 from gridledger.operators.joins import join_same
 from gridledger.operators.ranking import medians, with_positions
-from gridledger.operators.slices import with_slices
+from gridledger.operators.slices import cuts_of, with_slices
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 scores = st.lists(
@@ -29,12 +33,12 @@ def group(rows):
 
 
 @few
-@given(rows=scores, hot_rows=st.sampled_from([2, 1000]))
-def test_positions_equal_brute_force(spark, rows, hot_rows):
-    """Plain windows and slices give what counting every pair gives."""
+@given(rows=scores, rate=st.sampled_from([1, 7, 10**6]))
+def test_positions_equal_brute_force(spark, rows, rate):
+    """Whatever share of the values cuts its group, positions are what counting every pair gives."""
     df = spark.createDataFrame(rows, "g string, v double")
     got = sorted(map(repr, ((r.g, r.v, r._before, r._ties, r._total)
-                            for r in with_positions(df, ["g"], F.col("v"), hot_rows).collect())))
+                            for r in with_positions(df, ["g"], F.col("v"), rate).collect())))
 
     def low(value):
         return float("-inf") if value is None else value
@@ -47,26 +51,71 @@ def test_positions_equal_brute_force(spark, rows, hot_rows):
 
 
 @few
-@given(rows=scores, hot_rows=st.sampled_from([2, 1000]))
-def test_medians_equal_brute_force(spark, rows, hot_rows):
+@given(rows=st.one_of(scores, st.lists(
+    st.tuples(st.sampled_from(["a", None]), st.floats(allow_nan=False, allow_infinity=False, min_value=-1e300, max_value=1e300)),
+    min_size=1, max_size=40,
+)))
+def test_medians_equal_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.m for r in medians(df, ["g"], "v", "m", hot_rows).collect()}
+    got = {r.g: r.m for r in medians(df, ["g"], "v", "m").collect()}
     known = {k: [v for v in vs if v is not None] for k, vs in group(rows).items()}
     assert got == {k: statistics.median(vs) for k, vs in known.items() if vs}
 
 
-def test_slices_keep_order_and_split_the_hot_group(spark):
+def test_median_of_one_large_group(spark):
+    """Values that differ in their last bits only, a third of the rows alike, and numbers of all sizes."""
+    rows = spark.range(30_001).select(
+        F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 3 == 1, 5.0 + (F.col("id") * 7919 % 1000) * 2.0**-50)
+        .otherwise((F.col("id") * 104729 % 30011 - 15000) * 1e-3).alias("v"))
+    want = statistics.median(r.v for r in rows.collect())
+    assert medians(rows, [], "v", "m").first().m == want
+    odd = spark.createDataFrame([(v,) for v in (math.nan, math.inf, -math.inf, 1.0, 2.0)], "v double")
+    assert medians(odd, [], "v", "m").first().m == 2.0
+
+
+@few
+@given(values=st.lists(st.floats(allow_nan=False), min_size=1, max_size=60))
+def test_ordered_bits_are_those_of_the_double(spark, values):
+    values += [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.2250738585072009e-308, 1.7976931348623157e308, math.inf, -math.inf]
+    values += [1.0, math.nextafter(1.0, 0), math.nextafter(1.0, 2), 2.0**52, 2.0**53 + 2, 0.1, 1e300, 8.0, math.nextafter(8.0, 0)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b"))
+    for v, b in df.collect():
+        size = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert b == (size if v >= 0 else -size), v
+    beyond = spark.createDataFrame([(math.nan,), (None,)], "v double").select(ordered_bits(F.col("v"))).collect()
+    assert beyond[0][0] > 2047 << 52 and beyond[1][0] is None
+
+
+def test_slices_keep_order_and_grow_with_the_group(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") < 2500, "hot").otherwise(F.col("id").cast("string")).alias("g"),
         (F.col("id") * 7919 % 3000).alias("v"),
     )
-    sliced = with_slices(df, ["g"], F.col("v"), hot_rows=100)
-    assert sliced.filter("g <> 'hot' AND _slice <> -1").isEmpty()
+    sliced = with_slices(df, ["g"], "v", cuts_of(df, ["g"], "v", 40))
     bounds = sliced.filter("g = 'hot'").groupBy("_slice").agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).orderBy("_slice").collect()
-    assert len(bounds) > 30
-    assert max(b.n for b in bounds) < 500
+    assert 35 < len(bounds) < 95 and max(b.n for b in bounds) < 40 * 12
     assert all(a.hi < b.lo for a, b in zip(bounds, bounds[1:]))
+    assert sliced.filter("g <> 'hot' AND _slice NOT IN (-1, 1)").isEmpty()  # a group of one value is cut below it or not at all
+
+
+def jobs_of(spark, build):
+    """How many jobs run while `build` makes its DataFrame."""
+    name = f"counted-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_plans_are_lazy(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    assert jobs_of(spark, lambda: df.count()) > 0
+    assert jobs_of(spark, lambda: with_positions(df, ["g"], F.col("v"))) == 0
+    assert jobs_of(spark, lambda: medians(df, ["g"], "v", "m")) == 0
+    assert jobs_of(spark, lambda: cdc.scd2(df, ["g"], "v", ["v"])) == 0
 
 
 def test_join_same_matches_null_keys(spark):
@@ -85,12 +134,12 @@ changes = st.lists(
 
 
 @few
-@given(rows=changes, hot_rows=st.sampled_from([1, 1000]), seed=st.randoms(use_true_random=False))
-def test_scd2_equals_brute_force_in_any_order(spark, rows, hot_rows, seed):
+@given(rows=changes, rate=st.sampled_from([1, 3, 10**6]), seed=st.randoms(use_true_random=False))
+def test_scd2_equals_brute_force_in_any_order(spark, rows, rate, seed):
     shuffled = rows + rows[: len(rows) // 2]  # a part of the pull arrives twice
     seed.shuffle(shuffled)
     df = spark.createDataFrame(shuffled, "k string, s int, v string")
-    got = cdc.scd2(df, ["k"], "s", ["v"], hot_rows=hot_rows).collect()
+    got = cdc.scd2(df, ["k"], "s", ["v"], rate=rate).collect()
     assert sorted(map(tuple, got), key=repr) == periods(rows)
 
 
@@ -110,7 +159,7 @@ def test_scd2_hot_key_in_many_slices(spark):
         F.col("id").alias("s"),
         (F.floor(F.col("id") / 13) % 3).alias("v"),
     )
-    sliced = cdc.scd2(rows, ["k"], "s", ["v"], hot_rows=50)
+    sliced = cdc.scd2(rows, ["k"], "s", ["v"], rate=50)
     plain = cdc.scd2(rows, ["k"], "s", ["v"])
     assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
     assert cdc.current(sliced).filter("k = 0").count() == 1
@@ -197,7 +246,7 @@ def test_positions_by_several_columns_in_slices(spark):
     )
     order = F.struct(F.col("wins").isNull().alias("w"), (-F.col("wins")).alias("mw"), (-F.col("points")).alias("mp"), "user_id")
     plain = with_positions(rows, ["g"], order)
-    sliced = with_positions(rows, ["g"], order, hot_rows=10)
+    sliced = with_positions(rows, ["g"], order, rate=10)
     assert sliced.count() == 400
     assert sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
     assert plain.filter("_ties <> 1").isEmpty()

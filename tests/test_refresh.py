@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import raw_tree
 from gridledger.operators.quality import ExpectationError
 from gridledger.plans import checks, gold, publish, scenario
-from gridledger.plans.refresh import refresh
+from gridledger.plans.refresh import audits, newest_run, published, refresh
 from gridledger.plans.registry import BY_NAME, DATASETS, compose
 from gridledger.sources import raw
 from gridledger.streaming.ingest import ingest
@@ -97,17 +97,77 @@ def test_lazy_composition_gives_the_same(lake):
         assert sorted(map(str, lazy[name].collect())) == sorted(map(str, lake.tables[name].collect()))
 
 
-def test_a_broken_gate_stops_before_it_publishes(spark, tmp_path):
-    raw_tree.full_tree(tmp_path / "raw")
+def bronze_of(spark, root):
+    return {f"bronze_{n}": raw.read_endpoint(spark, str(root), n, streaming=False) for n in raw.ENDPOINTS}
+
+
+def content(tables):
+    return {name: sorted(map(repr, df.collect())) for name, df in tables.items()}
+
+
+def test_a_broken_gate_and_a_crash_leave_the_version_before(spark, tmp_path, monkeypatch):
+    root, out = tmp_path / "raw", str(tmp_path / "out")
+    raw_tree.full_tree(root)
+    assert published(spark, out) == {}
+    first = refresh(spark, bronze_of(spark, root), out)
+    before = content(published(spark, out))
+    assert set(before) == {d.name for d in DATASETS if d.build}
+
     week = [raw_tree.team(r, 1, 5.0, {"10": 1.0, "SF": 2.0}, ["10", "SF"]) for r in (1, 2, 3)]
-    raw_tree.put(tmp_path / "raw", "season=2022/matchups/week=1.json", week)
-    bronze = {f"bronze_{n}": raw.read_endpoint(spark, str(tmp_path / "raw"), n, streaming=False)
-              for n in raw.ENDPOINTS}
+    raw_tree.put(root, "season=2022/matchups/week=1.json", week)
     with pytest.raises(ExpectationError, match="group_is_2"):
-        refresh(spark, bronze, str(tmp_path / "out"))
-    assert not (tmp_path / "out" / "dq_matchup_group_size").exists()
-    assert not (tmp_path / "out" / "gold_luck_adjusted_standings").exists()
-    assert (tmp_path / "out" / "fact_matchup").exists()
+        refresh(spark, bronze_of(spark, root), out)
+    assert newest_run(spark, out) == first.run and content(published(spark, out)) == before
+
+    raw_tree.season_tree(root, 2022)
+    raw_tree.put(root, "season=2023/league/league.json", raw_tree.league(2023, status="changed"))
+    with monkeypatch.context() as patch:
+        def crash(*_):
+            raise RuntimeError("lost")
+        patch.setattr("gridledger.plans.gold.h2h_matrix", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            refresh(spark, bronze_of(spark, root), out)
+    assert newest_run(spark, out) == first.run and content(published(spark, out)) == before
+
+    last = refresh(spark, bronze_of(spark, root), out)
+    assert newest_run(spark, out) == last.run
+    assert {r.status for r in published(spark, out)["dim_season"].collect()} == {"complete", "changed"}
+
+    gates = audits(spark, out).filter("mode = 'fail'").groupBy("run", "published").agg(
+        F.count("*").alias("rules"), F.sum("violations").alias("violations")).orderBy("run").collect()
+    assert [tuple(r)[1:] for r in gates] == [(True, 5, 0), (False, 5, 3), (True, 5, 0)]
+
+
+def test_every_dataset_is_computed_once(spark, lake_inputs, tmp_path):
+    """Counting the rules takes no job beside the one that writes."""
+    from gridledger.plans.refresh import write
+
+    dataset = BY_NAME["dq_unique_player"]
+    built = dataset.build(lake_inputs)
+    name = "write-once"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        built.write.parquet(str(tmp_path / "plain"))
+        plain = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        _, seen = write(spark, dataset, built, str(tmp_path / "audited"))
+        both = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert both == 2 * plain and seen["player_unique"] == 0
+
+
+def test_rules_of_no_rows(spark, tmp_path):
+    from gridledger.plans.refresh import write
+
+    dataset = BY_NAME["dq_unique_player"]
+    none = spark.createDataFrame([], "player_id string, cnt bigint")
+    rows, seen = write(spark, dataset, none, str(tmp_path / "none"))
+    assert rows.isEmpty() and seen == {"rows": 0, "player_unique": 0}
+
+
+@pytest.fixture(scope="module")
+def lake_inputs(lake):
+    return lake.tables
 
 
 def test_published_payload(lake, tmp_path):

@@ -70,37 +70,23 @@ def test_blob_source(spark, tree):
 
 def test_constant_key_keeps_one_dictionary(spark, tree):
     root, out = paths(tree)
-    for pull in (1, 2):
-        ingest.refresh_in_place(spark, root, out, "players_raw", pull)
-        assert ingest.read_bronze(spark, root, out, "players_raw").count() == 1
-        os.utime(f"{root}/players_nfl/players_nfl.json", (time.time() + 60, time.time() + 60))
+    raw_tree.put(root, "players_nfl/older.json", {"1": {"full_name": "Old"}})
+    os.utime(f"{root}/players_nfl/older.json", (time.time() - 600, time.time() - 600))
+    ingest.run_endpoint(spark, root, out, "players_raw")
+    for rows in (ingest.read_bronze(spark, root, out, "players_raw"), ingest.read_in_place(spark, root, "players_raw")):
+        assert [r._source_file.rpartition("/")[2] for r in rows.collect()] == ["players_nfl.json"]
 
 
 def test_overwritten_document_is_taken_again(spark, tree):
-    root, out = paths(tree)
-    ingest.refresh_in_place(spark, root, out, "league", 1)
+    root, _ = paths(tree)
+    assert {r.status for r in ingest.read_in_place(spark, root, "league").collect()} == {"complete"}
     raw_tree.put(root, "season=2023/league/league.json", raw_tree.league(2023, status="post_season"))
-    later = time.time() + 60
-    os.utime(f"{root}/season=2023/league/league.json", (later, later))
-    for run in (2, 3):  # the second time nothing has changed
-        ingest.refresh_in_place(spark, root, out, "league", run)
-        got = {r.season: r.status for r in ingest.read_bronze(spark, root, out, "league").collect()}
+    raw_tree.put(root, "season=2023/users/users.json", [{"user_id": "u9", "display_name": "Zed"}])
+    for _ in range(2):
+        got = {r.season: r.status for r in ingest.read_in_place(spark, root, "league").collect()}
         assert got == {"2022": "complete", "2023": "post_season"}
-    with pytest.raises(ValueError):
-        ingest.refresh_in_place(spark, root, out, "users", 1)
-
-
-def test_pulls_are_streamed_and_folded(spark, tmp_path):
-    root, out = str(tmp_path / "raw"), str(tmp_path / "out")
-    raw_tree.season_tree(f"{root}/pull=1", 2022)
-    ingest.run_endpoint(spark, root, out, "rosters", pulls=True)
-    ingest.run_endpoint(spark, root, out, "rosters", pulls=True)  # idle
-    raw_tree.put(f"{root}/pull=2", "season=2022/rosters/rosters.json",
-                 [{"roster_id": 4, "owner_id": "u4"}, {"roster_id": 1, "owner_id": "u1"}])
-    ingest.run_endpoint(spark, root, out, "rosters", pulls=True)
-    rows = ingest.read_bronze(spark, root, out, "rosters", pulls=True)
-    assert {r.roster_id: r.owner_id for r in rows.collect()} == {1: "u1", 2: "u2", 3: "u3", 4: "u4"}
-    assert {r.season for r in rows.collect()} == {"2022"}
+        names = {(r.season, r.user_id) for r in ingest.read_in_place(spark, root, "users").collect()}
+        assert names == {("2022", "u1"), ("2022", "u2"), ("2022", "u3"), ("2023", "u9")}
 
 
 def test_manager_history_is_streamed_from_the_bronze_table(spark, tree):
