@@ -2,36 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 #: Of a double: bits of the fraction, bias and largest value of the exponent.
 FRACTION, BIAS, FULL = 52, 1023, 2047
 
 
-def ordered_bits(x: Column) -> Column:
-    """A bigint that orders as the double does: equal for equal values (0.0 and -0.0 too), NaN above all, NULL for NULL.
+def with_ordered_bits(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add a bigint that orders as the double `value` does: equal for equal values (0.0 and -0.0 too), NaN above all, NULL
+    for NULL.
 
     It is the double's exponent and fraction, with the value's sign. Built-in functions do not show the bits, so they are
-    computed: the exponent from a logarithm, put right by comparison, the fraction by scaling with powers of two, which is exact.
+    computed: the exponent from a logarithm, put right by comparison, the fraction by scaling with powers of two, which is
+    exact. The steps are columns of their own, so that none is computed twice.
     """
-    size = F.abs(x)
-    near = F.floor(F.log2(size))
-    exponent = (
-        near
-        - F.when(size < F.pow(F.lit(2.0), near), 1).otherwise(0)
-        + F.when(size >= F.pow(F.lit(2.0), near + 1), 1).otherwise(0)
+    # By two half powers of two, so that no factor overflows.
+    scaled = "_size / pow(2D, floor(_exponent / 2)) / pow(2D, _exponent - floor(_exponent / 2))"
+    finite = f"if(abs({value}) < double('Infinity'), abs({value}), 1D)"
+    near = df.selectExpr("*", f"abs({value}) AS _size", f"floor(log2({finite})) AS _near")
+    exact = near.selectExpr(
+        "*", "_near - if(_size < pow(2D, _near), 1, 0) + if(_size >= pow(2D, _near + 1), 1, 0) AS _exponent"
     )
-    # Twice a half power, so that no factor overflows.
-    half = F.floor(exponent / 2)
-    scaled = size / F.pow(F.lit(2.0), half) / F.pow(F.lit(2.0), exponent - half)
-    normal = F.shiftleft((exponent + BIAS).cast("bigint"), FRACTION) + ((scaled - 1) * float(1 << FRACTION)).cast("bigint")
-    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
-    most = F.lit(FULL << FRACTION).cast("bigint")
-    bits = (
-        F.when(size == 0, F.lit(0).cast("bigint"))
-        .when(size == float("inf"), most)
-        .when(size < F.lit(2.0**-1022), tiny)
-        .otherwise(normal)
-    )
-    return F.when(F.isnan(x), most + 1).when(x < 0, -bits).otherwise(bits)
+    size = f"""CASE
+        WHEN isnan({value}) THEN {(FULL << FRACTION) + 1}
+        WHEN _size = 0 THEN 0L
+        WHEN _size = double('Infinity') THEN {FULL << FRACTION}
+        WHEN _size < pow(2D, {1 - BIAS}) THEN bigint(_size * pow(2D, 537) * pow(2D, 537))
+        ELSE shiftleft(bigint(_exponent + {BIAS}), {FRACTION}) + bigint(({scaled} - 1) * pow(2D, {FRACTION}))
+    END"""
+    signed = exact.selectExpr("*", f"{size} AS _bits")
+    return signed.selectExpr(*df.columns, f"if({value} < 0, -_bits, _bits) AS {name}")

@@ -5,16 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gridledger.functions.bits import ordered_bits
+from gridledger.functions.bits import with_ordered_bits
 from gridledger.operators.joins import join_same
 from gridledger.operators.slices import RATE, cuts_of, in_cut_groups, with_slices
 
-EARLIER = (W.unboundedPreceding, -1)
 #: Bits that a round of the selection of a median looks at.
-DIGIT_BITS = 16
+DIGIT_BITS = 22
 
 
 def value_positions(df: DataFrame, group: Sequence[str], order: Column, rate: int = RATE) -> DataFrame:
@@ -23,27 +21,23 @@ def value_positions(df: DataFrame, group: Sequence[str], order: Column, rate: in
     Equal values are counted before the first shuffle, so heavy ties cost one row. Sums run in two levels: over the values
     of a slice, and over the slices of a group.
     """
-    values = df.groupBy(*group, order.alias("_value")).agg(F.count(F.lit(1)).alias("_ties"))
-    cuts = cuts_of(values, group, "_value", rate, among=F.col("_ties"))
-    sliced = with_slices(values, group, "_value", cuts)
-    rows = F.sum("_ties")
-    inside = W.partitionBy(*group, "_slice")
-    local = sliced.select(
-        "*",
-        F.coalesce(rows.over(inside.orderBy("_value").rowsBetween(*EARLIER)), F.lit(0)).alias("_local"),
-        rows.over(inside).alias("_slice_total"),
+    values = df.groupBy(*group, order.alias("_value")).agg(F.expr("count(1) AS _ties"))
+    sliced = with_slices(values, group, "_value", cuts_of(values, group, "_value", rate, among="_ties"))
+    names = [f"`{c}`" for c in group]
+    of_group = f"PARTITION BY {', '.join(names)}"
+    of_slice, earlier = f"{of_group}, _slice", "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    local = sliced.selectExpr(
+        "*", f"coalesce(sum(_ties) OVER ({of_slice} ORDER BY _value {earlier}), 0) AS _local",
+        f"sum(_ties) OVER ({of_slice}) AS _slice_total",
     )
-    in_slice = F.sum("_slice_rows")
-    slices = W.partitionBy(*group)
-    offsets = in_cut_groups(sliced).groupBy(*group, "_slice").agg(rows.alias("_slice_rows")).select(
-        *group, "_slice",
-        in_slice.over(slices.orderBy("_slice").rowsBetween(*EARLIER)).alias("_offset"),
-        in_slice.over(slices).alias("_group_total"),
+    per_slice = in_cut_groups(sliced).groupBy(*group, "_slice").agg(F.expr("sum(_ties) AS _rows"))
+    offsets = per_slice.selectExpr(
+        *names, "_slice", f"sum(_rows) OVER ({of_group} ORDER BY _slice {earlier}) AS _offset",
+        f"sum(_rows) OVER ({of_group}) AS _group_total",
     )
-    return join_same(local, offsets, [*group, "_slice"]).select(
-        *group, "_value", "_ties",
-        (F.col("_local") + F.coalesce("_offset", F.lit(0))).alias("_before"),
-        F.coalesce("_group_total", "_slice_total").alias("_total"),
+    return join_same(local, offsets, [*group, "_slice"]).selectExpr(
+        *names, "_value", "_ties", "_local + coalesce(_offset, 0) AS _before",
+        "coalesce(_group_total, _slice_total) AS _total",
     )
 
 
@@ -51,9 +45,8 @@ def with_positions(df: DataFrame, group: Sequence[str], order: Column, rate: int
     """Add to every row how many rows of its group sort before it (`_before`), share its place
     (`_ties`, itself included), and there are (`_total`). NULL sorts first."""
     found = value_positions(df, group, order, rate)
-    return join_same(df.withColumn("_value", order), found, [*group, "_value"], "inner").select(
-        *df.columns, "_before", "_ties", "_total"
-    )
+    keyed = df.select("*", order.alias("_value"))
+    return join_same(keyed, found, [*group, "_value"], "inner").select(*df.columns, "_before", "_ties", "_total")
 
 
 def medians(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
@@ -61,32 +54,33 @@ def medians(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataF
 
     Selection by radix. Values are counted by ever fewer leading bits of a number in the same order; then, from the top, a
     round keeps the one or two prefixes that hold the middle and goes on inside them. No group is sorted, a round's window
-    sees at most 2^16 counts, and equal values are one count from the first shuffle on.
+    sees at most 2^22 counts, and equal values are one count from the first shuffle on.
     """
-    known = df.filter(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
-    counts = known.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_p0", ordered_bits(F.col("_v")))
+    known = df.select(*group, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    counts = with_ordered_bits(known, "_v", "_p0").groupBy(*group, "_v", "_p0").agg(F.expr("count(1) AS _n"))
     levels = [counts]  # the last level has the fewest bits
-    for level in range(1, 64 // DIGIT_BITS):
-        prefix = F.shiftright(F.col(f"_p{level - 1}"), DIGIT_BITS).alias(f"_p{level}")
-        levels.append(levels[-1].groupBy(*group, prefix).agg(F.sum("_n").alias("_n")))
+    for level in range(1, -(-64 // DIGIT_BITS)):
+        prefix = F.expr(f"shiftright(_p{level - 1}, {DIGIT_BITS}) AS _p{level}")
+        levels.append(levels[-1].groupBy(*group, prefix).agg(F.expr("sum(_n) AS _n")))
 
+    names = [f"`{c}`" for c in group]
     top = len(levels) - 1
-    whole = W.partitionBy(*group)
-    total = F.sum("_n").over(whole)
+    whole = f"sum(_n) OVER ({'PARTITION BY ' + ', '.join(names) if names else ''})"
     # Places counted from 0 of the two middle values; inside a prefix they are counted from its first value.
-    rows = levels[top].select("*", F.floor((total - 1) / 2).alias("_low"), F.floor(total / 2).alias("_high"))
+    rows = levels[top].selectExpr("*", f"floor(({whole} - 1) / 2) AS _low", f"floor({whole} / 2) AS _high")
+    holds = "({place} BETWEEN 0 AND _n - 1)"
+    low, high = (holds.format(place=place) for place in ("_low", "_high"))
     for level in range(top, -1, -1):
-        outer = [*group] if level == top else [*group, f"_p{level + 1}"]
+        outer, digit = [*group], f"_p{level}"
         if level < top:
-            prefix = F.shiftright(F.col(f"_p{level}"), DIGIT_BITS)
-            rows = join_same(levels[level].withColumn(f"_p{level + 1}", prefix), rows, outer, "inner")
-        before = F.coalesce(F.sum("_n").over(W.partitionBy(*outer).orderBy(f"_p{level}").rowsBetween(*EARLIER)), F.lit(0))
-        rows = rows.withColumn("_before", before)
-        for place in ("_low", "_high"):
-            rows = rows.withColumn(place, F.col(place) - F.col("_before"))
-        holds_low, holds_high = (F.col(place).between(0, F.col("_n") - 1) for place in ("_low", "_high"))
-        rows = rows.filter(holds_low | holds_high)
+            outer.append(f"_p{level + 1}")
+            inner = levels[level].selectExpr("*", f"shiftright({digit}, {DIGIT_BITS}) AS {outer[-1]}")
+            rows = join_same(inner, rows, outer, "inner")
+        parts = "PARTITION BY " + ", ".join(f"`{c}`" for c in outer) if outer else ""
+        before = f"coalesce(sum(_n) OVER ({parts} ORDER BY {digit} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+        kept = [*names, digit, *([] if level else ["_v"]), "_n"]
+        rows = rows.selectExpr(*kept, f"_low - {before} AS _low", f"_high - {before} AS _high").filter(f"{low} OR {high}")
         if level:
-            rows = rows.select(*group, f"_p{level}", "_low", "_high")
-    low, high = (F.max(F.when(holds, F.col("_v"))) for holds in (holds_low, holds_high))
-    return rows.groupBy(*group).agg(((low + high) / 2).alias(name))
+            rows = rows.drop("_n")
+    middle = f"(max(if({low}, _v, NULL)) + max(if({high}, _v, NULL))) / 2"
+    return rows.groupBy(*group).agg(F.expr(middle).alias(name))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.operators.joins import join_same
@@ -26,30 +26,24 @@ RATE = 65_536
 
 def with_slices(df: DataFrame, group: Sequence[str], order: str, cuts: DataFrame) -> DataFrame:
     """Add `_slice`: how many cuts of the row's group lie at or below its value of `order`; -1 in a group without cuts."""
-    return (
-        join_same(df, cuts, group)
-        .withColumn("_slice", F.coalesce(cuts_upto(F.col("_cuts"), F.col(order)), F.lit(-1)))
-        .drop("_cuts")
-    )
+    columns = [f"`{c}`" for c in df.columns]
+    return join_same(df, cuts, group).selectExpr(*columns, f"coalesce({cuts_upto('_cuts', order)}, -1) AS _slice")
 
 
 def in_cut_groups(sliced: DataFrame) -> DataFrame:
-    return sliced.filter(F.col("_slice") >= 0)
+    return sliced.filter("_slice >= 0")
 
 
-def cuts_of(df: DataFrame, group: Sequence[str], order: str, rate: int = RATE, among: Column | None = None) -> DataFrame:
+def cuts_of(df: DataFrame, group: Sequence[str], order: str, rate: int = RATE, among: str = "1") -> DataFrame:
     """One row per group that is cut: `_cuts`, sorted. `among` may be a count of at least 1 that a preceding aggregate has
     made: it keeps the choice above that aggregate, so that its shuffled rows are read again instead of computed again."""
-    chance = F.pmod(F.xxhash64(*group, order), F.lit(rate))
-    picked = df.filter((chance if among is None else chance * among) == 0)
-    return picked.groupBy(*group).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
+    values = ", ".join(f"`{c}`" for c in [*group, order])
+    picked = df.filter(f"pmod(xxhash64({values}), {rate}) * {among} = 0")
+    return picked.groupBy(*group).agg(F.expr(f"sort_array(collect_set(`{order}`)) AS _cuts"))
 
 
-def cuts_upto(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts are at most the value, by halving; NULL without cuts. A NULL value lies before all."""
-    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
-
-    def advance(found: Column, step: Column) -> Column:
-        return F.when(F.get(cuts, found + step - 1) <= value, found + step).otherwise(found)
-
-    return F.when(cuts.isNotNull(), F.aggregate(steps, F.lit(0), advance))
+def cuts_upto(cuts: str, value: str) -> str:
+    """SQL for how many of the sorted cuts are at most the value, by halving; NULL without cuts. A NULL value lies before all."""
+    steps = "transform(sequence(30, 0, -1), i -> shiftleft(1, i))"
+    advance = f"(found, step) -> if(get({cuts}, found + step - 1) <= `{value}`, found + step, found)"
+    return f"if({cuts} IS NOT NULL, aggregate({steps}, 0, {advance}), NULL)"

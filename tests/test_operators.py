@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gridledger.functions.bits import ordered_bits
+from gridledger.functions.bits import with_ordered_bits
 from gridledger.operators import cdc, quality
 from gridledger.operators.chain import season_chain
 from gridledger.operators.joins import join_same
@@ -78,12 +78,12 @@ def test_median_of_one_large_group(spark):
 def test_ordered_bits_are_those_of_the_double(spark, values):
     values += [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.2250738585072009e-308, 1.7976931348623157e308, math.inf, -math.inf]
     values += [1.0, math.nextafter(1.0, 0), math.nextafter(1.0, 2), 2.0**52, 2.0**53 + 2, 0.1, 1e300, 8.0, math.nextafter(8.0, 0)]
-    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b"))
+    df = with_ordered_bits(spark.createDataFrame([(v,) for v in values], "v double"), "v", "b")
     for v, b in df.collect():
         size = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
         assert b == (size if v >= 0 else -size), v
-    beyond = spark.createDataFrame([(math.nan,), (None,)], "v double").select(ordered_bits(F.col("v"))).collect()
-    assert beyond[0][0] > 2047 << 52 and beyond[1][0] is None
+    beyond = with_ordered_bits(spark.createDataFrame([(math.nan,), (None,)], "v double"), "v", "b").collect()
+    assert beyond[0].b > 2047 << 52 and beyond[1].b is None
 
 
 def test_slices_keep_order_and_grow_with_the_group(spark):

@@ -84,15 +84,16 @@ def test_idle_runs_and_a_repeated_batch_change_nothing(spark, three):
     root, out, steps, _, _ = three
     again = ingest(spark, str(root), out, ["matchups", "league"], pulls=True)
     assert content(again["bronze_matchups"]) == steps[2]["bronze_matchups"]
-    # Rows of a batch that the stream had written before it died, and wrote again under its next number.
+    # A batch that had written its rows when it died writes them again.
     last = spark.read.parquet(f"{table_path(out, 'matchups')}/batch=2")
-    last.write.mode("overwrite").parquet(f"{table_path(out, 'matchups')}/batch=2")
+    again = spark.createDataFrame(last.collect(), last.schema)
+    again.write.mode("overwrite").parquet(f"{table_path(out, 'matchups')}/batch=2")
     assert content(read_pulled(spark, str(root), out, "matchups")) == steps[2]["bronze_matchups"]
 
 
 def test_gates_pass_on_pulled_tables(spark, three, tmp_path):
-    _, _, _, _, tables = three
-    lake = refresh(spark, tables, str(tmp_path))
+    root, out, _, _, _ = three
+    lake = refresh(spark, {f"bronze_{n}": read_pulled(spark, str(root), out, n) for n in ENDPOINTS}, str(tmp_path))
     assert lake.tables["fact_matchup"].count() == 24
     assert lake.tables["fact_transaction"].filter("season = '2022'").isEmpty()
 

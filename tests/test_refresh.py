@@ -135,7 +135,7 @@ def test_a_broken_gate_and_a_crash_leave_the_version_before(spark, tmp_path, mon
 
     gates = audits(spark, out).filter("mode = 'fail'").groupBy("run", "published").agg(
         F.count("*").alias("rules"), F.sum("violations").alias("violations")).orderBy("run").collect()
-    assert [tuple(r)[1:] for r in gates] == [(True, 5, 0), (False, 5, 3), (True, 5, 0)]
+    assert [tuple(r)[1:] for r in gates] == [(True, 5, 0), (False, 5, 1), (True, 5, 0)]
 
 
 def test_every_dataset_is_computed_once(spark, lake_inputs, tmp_path):
