@@ -19,12 +19,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridledger.operators.session import durable
 
 TABLES = 4
 PROBES = 48
+#: More probes than any vector has axes.
+ALL_AXES = 1 << 30
 BEST = 20
 CHUNK = 4096
 #: Units are dealt to so many tasks at least, and to one more for each TASK_ROWS looks into a bucket. A query's best
@@ -154,7 +157,8 @@ def nearest(
     Nearness is the inner product in double precision; ties go to the smaller id. A row is no candidate for a
     query of its own id. Rows with a NULL id or whose vector is NULL, empty, zero or holds NULL or non-finite
     components take no part; vectors of different lengths never meet. A repeated row is one; different vectors under one
-    id are all searched. Other columns are not read. Empty tables give no rows.
+    id are all searched. A query gets `best` rows wherever there are as many candidates, else all of them: those that the
+    tables leave short are searched again over all rows. Other columns are not read. Empty tables give no rows.
     """
     read = lambda df: df.select(
         F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")
@@ -162,6 +166,21 @@ def nearest(
     schema = "tab int, size int, bucket int, id long, vector binary"
     stored = durable(read(vectors).mapInArrow(_buckets(tables, 1), schema))
     asked = durable(read(queries).mapInArrow(_buckets(tables, probes), schema))
+    found = durable(_found(stored, asked, best).distinct())
+    # Queries that found too few look into every bucket of one table, that is at every row.
+    served = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= best)
+    short = read(queries).join(served, F.col("id") == F.col("query_id"), "left_anti")
+    again = durable(short.mapInArrow(_buckets(1, ALL_AXES), schema))
+    found = found.union(_found(stored.filter("tab = 0"), again, best)).distinct()
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _found(stored: DataFrame, asked: DataFrame, best: int) -> DataFrame:
+    """The best of each query in the buckets it looks into, a task at a time: `query_id`, `vec_id`, `score`."""
     place = ["tab", "size", "bucket"]
     chunks = lambda df, name: df.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name))
     counts = chunks(stored, "stored_chunks").join(chunks(asked, "asked_chunks"), place)
@@ -173,12 +192,5 @@ def nearest(
     unit = F.xxhash64(*place, "s", "a")
     rows = left.select(unit.alias("unit"), F.lit(False).alias("asks"), "id", "vector").union(
         right.select(unit.alias("unit"), F.lit(True).alias("asks"), "id", "vector"))
-    from pyspark.sql import Window as W
-
-    found = rows.withColumn("task", F.pmod("unit", F.lit(tasks))).groupBy("task").applyInArrow(
+    return rows.withColumn("task", F.pmod("unit", F.lit(tasks))).groupBy("task").applyInArrow(
         _search(best), "query_id long, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= best)
-        .select("query_id", "rank", "vec_id", "score")
-    )
