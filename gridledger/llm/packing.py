@@ -11,6 +11,7 @@ executor costs only its tasks. The vocabulary's ids per word are kept in a cache
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,12 +23,14 @@ from gridledger.llm.common import give_back, in_batches
 
 MAX_LENGTH = 4096
 END_ID = 2
-#: Runs whose ids a worker remembers; the cache starts anew beyond it.
-CACHE_RUNS = 180_000
+#: Runs whose ids a worker remembers.
+CACHE_RUNS = 400_000
 #: Letters that stand for themselves in every normal form, and marks other than quotes and brackets.
-LETTER = "[A-Za-zäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ]"
-MARK = "[!-&(-/:;=?@*#$%]"
-BATCH_BYTES = 1 << 20
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ"
+MARKS = b"!\"#$%&()*+,-./:;=?@"
+#: Kinds of bytes.
+SPACE, LETTER, MARK = 1, 2, 3
+BATCH_BYTES = 2 << 20
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -44,39 +47,41 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, runs: list[str]) -> None:
-        import numpy as np
-
         tokenize = self.tokenizer.model.tokenize
         other = []
         for run in runs:
             if run.isascii() and run.isalpha():  # one token run as it stands: only the merges are left to do
-                self.known[run] = np.array([t.id for t in tokenize(run.lower())], "<u4").tobytes()
+                self.known[run] = array("I", [t.id for t in tokenize(run.lower())]).tobytes()
             else:
                 other.append(run)
         for run, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known[run] = np.array(found.ids, "<u4").tobytes()
+            self.known[run] = array("I", found.ids).tobytes()
+
+    def _ids(self, runs: list[str]) -> list[bytes]:
+        """Ids of different runs. Two generations are remembered: when the young one is full it becomes the old one, and what
+        is asked for again moves on, so frequent runs stay."""
+        if len(self.known) > CACHE_RUNS // 2:
+            self.known, self.old = {}, self.known
+        missing = []
+        for run in runs:
+            if run not in self.known:
+                if run in self.old:
+                    self.known[run] = self.old[run]
+                else:
+                    missing.append(run)
+        self._learn(missing)
+        return [self.known[r] for r in runs]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; NULL has none."""
         import numpy as np
-        import pyarrow.compute as pc
-
-        parted = pc.fill_null(texts, "")
-        for space in "\n\t":
-            parted = pc.replace_substring(parted, space, " ")
-        parted = pc.replace_substring_regex(parted, f"({LETTER})({MARK})", r"\1 \2")
-        parted = pc.replace_substring_regex(parted, f"({MARK})({LETTER})", r"\1 \2")
-        lists = pc.split_pattern(parted.cast(pa.large_string()), " ")
-        coded = lists.flatten().dictionary_encode()
-        runs = coded.dictionary.to_pylist()
-        missing = [r for r in runs if r not in self.known]
-        if len(self.known) + len(missing) > CACHE_RUNS:
-            self.known.clear()
-            missing = runs
-        self._learn(missing)
-        ids = [self.known[r] for r in runs]
+
+        runs, first_run = part(texts)
+        coded = runs.dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         first = np.cumsum(size) - size
@@ -84,10 +89,50 @@ class WordEncoder:
         sizes = size[at]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         picked = flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], sizes)].tobytes()
-        bounds = (4 * ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]).tolist()
+        bounds = (4 * ends[first_run]).tolist()
         return [picked[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+def part(texts: pa.Array):
+    """The runs of all texts, one after another, and where those of each text begin (and the last ones end).
+
+    Runs are parted by blanks, line ends and tabs, and where a listed letter and a listed mark meet. All listed letters beyond
+    ASCII are two bytes that begin with C3, so this is read off the bytes.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    kind = np.zeros(256, np.uint8)
+    kind[list(b" \n\t")], kind[list(MARKS)] = SPACE, MARK
+    kind[[ord(c) for c in LETTERS if c.isascii()]] = LETTER
+    second = np.zeros(256, bool)
+    second[[c.encode()[1] for c in LETTERS if not c.isascii()]] = True
+
+    of = kind[data]
+    letter_starts = of == LETTER
+    letter_ends = letter_starts.copy()
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[second[data[lead + 1]]]
+    letter_starts[lead] = True
+    letter_ends[lead + 1] = True
+    mark, inside = of == MARK, of != SPACE
+    edge = np.zeros(len(data) + 1, bool)  # a run begins here, where no blank does
+    edge[1:-1] = ~inside[:-1] | (letter_ends[:-1] & mark[1:]) | (mark[:-1] & letter_starts[1:])
+    edge[offsets] = True
+    starts = np.flatnonzero(edge[:-1] & inside)
+    ends = np.concatenate(([0], np.cumsum(inside)))  # runs follow one another once the blanks are gone
+    places = ends[starts]
+    bounds = np.append(places, ends[-1])
+    text = pa.py_buffer(np.ascontiguousarray(data[inside]))
+    runs = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), text)
+    return runs, np.searchsorted(starts, offsets)
+
+
 def piece_lengths(n: int, longest: int) -> list[int]:
     """As many of the longest as fit, then the binary digits of the rest from high to low."""
     rest = n % longest
