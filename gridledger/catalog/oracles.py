@@ -446,7 +446,7 @@ oracle("manifest", "tw tx pick tally", """
     , f AS (
         SELECT y::VARCHAR AS season, 'm' AS e, m::VARCHAR AS file, count(*) AS n FROM tw GROUP BY ALL
         UNION ALL
-        SELECT season, 't', w::VARCHAR, count(DISTINCT (o, part // 64)) FROM tx GROUP BY ALL
+        SELECT season, 't', w::VARCHAR, count(DISTINCT o) FROM tx GROUP BY ALL
         UNION ALL
         SELECT season, 'p', draft_id, count(*) FROM pick GROUP BY ALL
         UNION ALL
@@ -572,3 +572,70 @@ oracle("publication_gates", "years fm reg pick player mgr unit", """
             FROM (SELECT count(*) AS cnt FROM unit GROUP BY season, w, roster_id)
     )
     SELECT *, NOT EXISTS (SELECT 1 FROM seen WHERE mode = 'fail' AND violations > 0) AS published FROM seen""")
+
+# -- landing by content --------------------------------------------------------------------------
+
+_DOCS = """
+    SELECT y, m, (y + m) % 11 AS kind, 'season=' || y || '/matchups/' AS folder, 'week=' || m || '.json' AS name,
+           '[' || string_agg('{"roster_id":' || r || CASE WHEN partner <> r THEN ',"matchup_id":' || least(r, partner) ELSE '' END
+                             || ',"points":' || pts::VARCHAR || '}', ',' ORDER BY r) || ']' AS text
+    FROM side GROUP BY y, m"""
+PARTS["docs"] = ("side", _DOCS)
+
+oracle("landing_files", "docs", """
+    SELECT CASE kind WHEN 4 THEN folder || 'moved-' || name WHEN 5 THEN 'stray-' || y || '-' || name
+                     WHEN 7 THEN folder || 'new-' || name ELSE folder || name END AS path,
+           CASE kind WHEN 1 THEN 'missing' WHEN 2 THEN 'truncated' WHEN 3 THEN 'changed' WHEN 4 THEN 'renamed'
+                     WHEN 5 THEN 'doubled' WHEN 6 THEN 'missing' WHEN 7 THEN 'unexpected' END AS difference
+    FROM docs WHERE kind BETWEEN 1 AND 7""")
+
+# Files and bytes: kind 1 is empty and so not there, 2 lacks five bytes, 3 has one more, 5 has a copy outside of seasons, 6 is gone, 7 has a
+# second file with three bytes more. A renamed file changes nothing about its season.
+oracle("landing_digests", "docs", """
+    , landed AS (
+        SELECT y::VARCHAR AS season, kind, CASE kind WHEN 1 THEN 0 WHEN 2 THEN strlen(text) - 5 WHEN 3 THEN strlen(text) + 1
+                                           WHEN 7 THEN 2 * strlen(text) + 3 ELSE strlen(text) END AS bytes,
+               CASE kind WHEN 1 THEN 0 WHEN 6 THEN 0 WHEN 7 THEN 2 ELSE 1 END AS files, strlen(text) AS wanted FROM docs
+        UNION ALL SELECT NULL, 5, strlen(text), 1, NULL FROM docs WHERE kind = 5
+    )
+    SELECT season, nullif(sum(files), 0)::BIGINT AS files, nullif(count(wanted), 0) AS expected_files,
+           (sum(bytes) FILTER (files > 0))::BIGINT AS bytes, sum(wanted)::BIGINT AS expected_bytes,
+           season IS NOT NULL AND NOT bool_or(kind IN (1, 2, 3, 6, 7)) AS ok
+    FROM landed GROUP BY season""")
+
+oracle("season_chains", "years", """
+    , bounds2 AS (SELECT min(y) AS lo FROM years),
+    leagues AS (
+        SELECT n_nationkey || '-' || y AS league_id, y::VARCHAR AS season,
+               CASE WHEN y = lo AND n_nationkey = 11 THEN n_nationkey || '-' || (hi - 1) WHEN y = lo THEN '0'
+                    ELSE n_nationkey || '-' || (y - CASE WHEN n_nationkey % 7 = 3 THEN 2 ELSE 1 END) END AS previous_league_id,
+               n_nationkey AS n, y, lo, hi
+        FROM nation, years, bounds2
+    ), chains AS (
+        SELECT h.league_id AS start, (h.y - l.y) // CASE WHEN h.n % 7 = 3 THEN 2 ELSE 1 END AS depth, l.*
+        FROM leagues h JOIN leagues l ON l.n = h.n AND l.y <= h.y AND (h.n % 7 <> 3 OR (h.y - l.y) % 2 = 0)
+        WHERE h.y = h.hi OR (h.n % 7 = 3 AND h.y = h.hi - 1)
+    )
+    SELECT start, depth::BIGINT AS depth, league_id, previous_league_id, season FROM chains""")
+
+oracle("stream_rules", "", """
+    SELECT rule, 4::BIGINT AS batches, count(*) AS rows, count(*) FILTER (broken IS NOT FALSE) AS violations
+    FROM (SELECT 'known_user' AS rule, NOT (user_id % 50 <> 7) AS broken FROM events
+          UNION ALL SELECT 'plausible_value', value < 1 OR value > 90 FROM events
+          UNION ALL SELECT 'has_key', (props->>'$.k') = '3' FROM events)
+    GROUP BY rule""")
+
+oracle("scenario_rescore_many", "fixed", """
+    , w AS (
+        SELECT 'size ' || p_size AS scenario_id,
+               sum(CASE WHEN p_partkey % 6 = 0 THEN (p_partkey % 9 - 4) * 0.25 ELSE 0 END)::DOUBLE AS w_sack,
+               sum(CASE WHEN p_partkey % 6 = 1 THEN (p_partkey % 9 - 4) * 0.25 ELSE 0 END)::DOUBLE AS w_int,
+               sum(CASE WHEN p_partkey % 6 = 2 THEN (p_partkey % 9 - 4) * 0.25 ELSE 0 END)::DOUBLE AS w_ff,
+               sum(CASE WHEN p_partkey % 6 = 3 THEN (p_partkey % 9 - 4) * 0.25 ELSE 0 END)::DOUBLE AS w_fum,
+               sum(CASE WHEN p_partkey % 6 = 4 THEN (p_partkey % 9 - 4) * 0.25 ELSE 0 END)::DOUBLE AS w_allow
+        FROM part GROUP BY p_size
+    )
+    SELECT scenario_id, season, f.w AS week, roster_id, user_id, matchup_id, is_regular, actual_points,
+           non_def_points + coalesce(sack, 0) * w_sack + coalesce(interceptions, 0) * w_int + coalesce(ff, 0) * w_ff
+               + coalesce(fum_rec, 0) * w_fum + coalesce(pts_allow, 0) * w_allow AS new_points
+    FROM fixed f CROSS JOIN w""")

@@ -7,6 +7,7 @@ from contextlib import suppress
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridledger.functions import parsing, rules
@@ -16,11 +17,13 @@ from gridledger.operators.session import durable, tune, workspace
 from gridledger.plans import checks, gold, publish, refresh, scenario, silver
 from gridledger.sources import driver_documents
 from gridledger.sources.driver_tables import LeagueTables
-from gridledger.sources.landing import build_manifest, write_documents
+from gridledger.sources.landing import (
+    build_manifest, content_of_documents, content_of_files, digest_check, landing_differences, write_documents,
+)
 from gridledger.sources.raw import unreadable_documents as unreadable
 from gridledger.streaming import cdc as stream_cdc
 from gridledger.streaming.pulls import ingest_pulls
-from gridledger.streaming.runs import append_stream
+from gridledger.streaming.runs import append_checked, append_stream, rule_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -429,6 +432,17 @@ def scenario_rescore(t: League) -> DataFrame:
     return scenario.rescore(t.scenario_rows(), SCENARIOS)
 
 
+@query
+def scenario_rescore_many(t: League) -> DataFrame:
+    """A scenario per size of part, its weights summed up over the parts of the size."""
+    part = F.col("p_partkey")
+    names = F.array(*[F.lit(k) for k in ("sack", "int", "ff", "fum_rec", "pts_allow", "off_snp")])
+    weights = t.table("part").groupBy(
+        F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("scenario_id"), F.get(names, (part % 6).cast("int")).alias("stat")
+    ).agg(F.sum((part % 9 - 4) * 0.25).alias("weight"))
+    return scenario.rescore(t.scenario_rows(), weights)
+
+
 @query
 def scenario_standings(t: League) -> DataFrame:
     return scenario.scenario_standings(durable(t.scenario_rows()), SCENARIOS, t.managers())
@@ -556,6 +570,41 @@ def season_chain(t: League) -> DataFrame:
     return chain.season_chain(leagues, leagues.agg(F.max_by("league_id", "season")).first()[0])
 
 
+@query
+def season_chains(t: League) -> DataFrame:
+    """A league per nation: every seventh has lost its links between even and odd seasons, one nation's seasons form a ring
+    with a younger season before it."""
+    teams = t._teams().select("n_nationkey", "season", F.max("season").over(W.partitionBy("n_nationkey")).alias("last"))
+    nation, season = F.col("n_nationkey"), F.col("season")
+    named = lambda year: F.concat(nation.cast("string"), F.lit("-"), year.cast("string"))
+    first = season == F.min("season").over(W.partitionBy("n_nationkey"))
+    back = F.when(nation % 7 == 3, season - 2).otherwise(season - 1)
+    leagues = teams.select(
+        named(season).alias("league_id"), season.cast("string").alias("season"),
+        F.when(first & (nation == 11), named(F.col("last") - 1)).when(first, "0").otherwise(named(back)).alias("previous_league_id"),
+    )
+    return chain.season_chains(durable(leagues))
+
+
+@query
+def landing_digests(t: League) -> DataFrame:
+    """Damaged documents against what was to be landed, season by season."""
+    return digest_check(*_landed(t))
+
+
+@query
+def landing_files(t: League) -> DataFrame:
+    """What is wrong with which file."""
+    return landing_differences(*_landed(t))
+
+
+def _landed(t: League) -> tuple[DataFrame, DataFrame]:
+    root = f"{workspace(t.spark)}/raw"
+    documents = driver_documents.matchup_documents(t, 1)
+    write_documents(driver_documents.damaged(documents), root)
+    return content_of_files(t.spark, root), content_of_documents(documents)
+
+
 @query
 def manifest(t: League) -> DataFrame:
     matchups = t.matchups().select("season", "_source_file")
@@ -649,6 +698,19 @@ def stream_append(t: League) -> DataFrame:
     return t.spark.read.schema(t.events().schema).parquet(f"{out}/rows")
 
 
+EVENT_RULES = {
+    "known_user": "user_id % 50 <> 7", "plausible_value": "value BETWEEN 1 AND 90", "has_key": "get_json_object(props, '$.k') <> '3'",
+}
+
+
+@query
+def stream_rules(t: League) -> DataFrame:
+    """Rule violations of a stream, added up over its micro-batches."""
+    out = _streamed(t, lambda stream, out: append_checked(stream, f"{out}/events", f"{out}/stream", EVENT_RULES))
+    seen = rule_counts(t.spark, f"{out}/events").groupBy("rule")
+    return seen.agg(F.count_distinct("batch").alias("batches"), F.sum("rows").alias("rows"), F.sum("violations").alias("violations"))
+
+
 @query
 def stream_scd1(t: League) -> DataFrame:
     columns = ["user_id", "ts", "event_type", "value"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions.bits import with_ordered_bits
 from gridledger.operators import cdc, quality
-from gridledger.operators.chain import season_chain
+from gridledger.operators.chain import season_chain, season_chains
 from gridledger.operators.joins import join_same
 from gridledger.operators.ranking import medians, with_positions
 from gridledger.operators.slices import cuts_of, with_slices
@@ -236,6 +236,21 @@ def test_season_chain_guards(spark):
     assert chain_ids(spark, [("c", "")], "nobody") == []
 
 
+def test_season_chains_of_any_length_and_rings(spark):
+    """A chain of 5,000, a ring with a tail that leads into it, and two leagues that share their past."""
+    long = [(f"c{i}", f"c{i - 1}") for i in range(1, 5000)] + [("c0", "0")]
+    ring = [("r0", "r2"), ("r1", "r0"), ("r2", "r1"), ("tail", "r1")]
+    shared = [("x", "old"), ("y", "old"), ("old", "")]
+    df = spark.createDataFrame([(a, b, "s") for a, b in long + ring + shared], "league_id string, previous_league_id string, season string")
+    found = defaultdict(dict)
+    for r in season_chains(df).collect():
+        found[r.start][r.depth] = r.league_id
+    assert set(found) == {"c4999", "tail", "x", "y"}
+    assert found["c4999"] == {i: f"c{4999 - i}" for i in range(5000)}
+    assert found["tail"] == {0: "tail", 1: "r1", 2: "r0", 3: "r2"}
+    assert found["x"] == {0: "x", 1: "old"} and found["y"] == {0: "y", 1: "old"}
+
+
 def test_positions_by_several_columns_in_slices(spark):
     """The order of a season's finish, with missing values, on both paths."""
     rows = spark.range(400).select(

@@ -172,3 +172,29 @@ def test_manifest_and_landing_check(spark, tree):
     assert got == {"2022": (14, 14, True), "2023": (15, 14, False), "2021": (1, None, False),
                    None: (30, 28, False)}
     assert landing.landing_check(spark, root, built).filter("NOT ok").isEmpty()
+
+
+def test_files_are_checked_by_content(spark, tmp_path):
+    text = {f"season=2022/matchups/week={w}.json": f"[{w}]" for w in range(1, 9)} | {"players_nfl/players_nfl.json": "{}"}
+    expected = landing.content_of_documents(spark.createDataFrame(list(text.items()), "path string, text string"))
+    for path, content in text.items():
+        raw_tree.put(tmp_path / "raw", path, content)
+    root = str(tmp_path / "raw")
+    assert landing.landing_differences(landing.content_of_files(spark, root), expected).isEmpty()
+    good = {r.season: (r.files, r.ok) for r in landing.digest_check(landing.content_of_files(spark, root), expected).collect()}
+    assert good == {"2022": (8, True), None: (1, True)}
+
+    week = lambda n: tmp_path / f"raw/season=2022/matchups/week={n}.json"
+    week(1).write_text("")
+    week(2).write_text("[")
+    week(3).write_text("[9]")
+    week(4).rename(week("4b"))
+    raw_tree.put(root, "season=2023/matchups/week=5.json", "[5]")
+    week(6).unlink()
+    raw_tree.put(root, "odd.json", "[77]")
+    found = {r.path.rpartition("/")[2]: r.difference for r in
+             landing.landing_differences(landing.content_of_files(spark, root), expected).collect()}
+    assert found == {"week=1.json": "missing", "week=2.json": "truncated", "week=3.json": "changed", "week=4b.json": "renamed",
+                     "week=5.json": "doubled", "week=6.json": "missing", "odd.json": "unexpected"}
+    bad = {r.season: r.ok for r in landing.digest_check(landing.content_of_files(spark, root), expected).collect()}
+    assert bad == {"2022": False, "2023": False, None: False}

@@ -111,3 +111,23 @@ def test_a_batch_that_died_before_its_commit_is_run_again(spark, tmp_path):
     assert rows_of(cdc.read_latest(spark, str(tmp_path / "again"), SCHEMA)) == [("a", 1, "x")]
     cdc.latest_stream(stream(spark, src), str(tmp_path / "again"), ["k"], ["s"])
     assert rows_of(cdc.read_latest(spark, str(tmp_path / "again"), SCHEMA)) == want
+
+
+def test_rules_are_counted_per_micro_batch(spark, tmp_path):
+    from gridledger.operators.quality import violations
+    from gridledger.streaming.runs import append_checked, rule_counts
+
+    rules = {"known": "v <> 'x'", "early": "s < 3"}
+    src, out, cp = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "cp")
+    parts = [[("a", 1, "x"), ("b", 5, "y")], [("c", None, None)], [("d", 2, "y"), ("e", 9, "x"), ("f", 1, "x")]]
+    for part in parts:
+        land(spark, src, part)
+        append_checked(stream(spark, src), out, cp, rules)
+    append_checked(stream(spark, src), out, cp, rules)  # nothing new
+    got = {(r.batch, r.rule): (r.rows, r.violations) for r in rule_counts(spark, out).collect()}
+    assert got == {(0, "known"): (2, 1), (0, "early"): (2, 1), (1, "known"): (1, 1), (1, "early"): (1, 1),
+                   (2, "known"): (3, 2), (2, "early"): (3, 1)}
+    rows = spark.read.schema(SCHEMA).parquet(f"{out}/rows").select(*SCHEMA.names)
+    assert rows_of(rows) == sorted(((k, s, v) for part in parts for k, s, v in part), key=repr)
+    whole = {r.rule: (r.rows, r.violations) for r in violations(rows, rules).collect()}
+    assert whole == {rule: tuple(sum(got[b, rule][i] for b in range(3)) for i in (0, 1)) for rule in rules}
