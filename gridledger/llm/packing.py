@@ -24,13 +24,13 @@ from gridledger.llm.common import give_back, in_batches
 MAX_LENGTH = 4096
 END_ID = 2
 #: Runs whose ids a worker remembers.
-CACHE_RUNS = 400_000
+CACHE_RUNS = 180_000
 #: Letters that stand for themselves in every normal form, and marks other than quotes and brackets.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ"
 MARKS = b"!\"#$%&()*+,-./:;=?@"
 #: Kinds of bytes.
 SPACE, LETTER, MARK = 1, 2, 3
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -125,7 +125,7 @@ def part(texts: pa.Array):
     edge[1:-1] = ~inside[:-1] | (letter_ends[:-1] & mark[1:]) | (mark[:-1] & letter_starts[1:])
     edge[offsets] = True
     starts = np.flatnonzero(edge[:-1] & inside)
-    ends = np.concatenate(([0], np.cumsum(inside)))  # runs follow one another once the blanks are gone
+    ends = np.concatenate(([0], np.cumsum(inside, dtype=np.int32 if len(data) < 2**31 else np.int64)))  # runs follow one another once the blanks are gone
     places = ends[starts]
     bounds = np.append(places, ends[-1])
     text = pa.py_buffer(np.ascontiguousarray(data[inside]))
