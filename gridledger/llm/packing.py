@@ -11,6 +11,9 @@ executor costs only its tasks. The vocabulary's ids per word are kept in a cache
 
 from __future__ import annotations
 
+import os
+import re
+import sys
 from array import array
 from collections.abc import Iterator
 
@@ -23,14 +26,16 @@ from gridledger.llm.common import give_back, in_batches
 
 MAX_LENGTH = 4096
 END_ID = 2
-#: Runs whose ids a worker remembers.
-CACHE_RUNS = 180_000
+#: Bytes that a worker spends on the runs and ids it remembers, and those of a run besides its text and ids.
+CACHE_BYTES, RUN_BYTES = 64 << 20, 100
 #: Letters that stand for themselves in every normal form, and marks other than quotes and brackets.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzäöüßñáéíóúàèìòùâêîôûçÄÖÜÑÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÇ"
 MARKS = b"!\"#$%&()*+,-./:;=?@"
 #: Kinds of bytes.
 SPACE, LETTER, MARK = 1, 2, 3
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
+#: Runs that the whole tokenizer sees at a time.
+LEARN_RUNS = 1000
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -39,41 +44,71 @@ class WordEncoder:
     """Ids of a text, found run by run.
 
     The tokenizer's own pattern never joins characters across a space, nor a letter and a mark of
-    `MARKS`. Texts are parted there, equal runs of a batch are encoded once, and remembered.
+    `MARKS`. Texts are parted there, equal runs of a batch are encoded once, and remembered: a dictionary
+    has the place of each run, an Arrow array the ids by place.
     """
 
     def __init__(self, path: str):
+        import numpy as np
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already; threads beside them cost CPU and memory
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _learn(self, runs: list[str]) -> None:
-        tokenize = self.tokenizer.model.tokenize
-        other = []
-        for run in runs:
-            if run.isascii() and run.isalpha():  # one token run as it stands: only the merges are left to do
-                self.known[run] = array("I", [t.id for t in tokenize(run.lower())]).tobytes()
+        self.model = self.tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in LETTERS if not c.isascii()}
+        self.letters = re.compile(f"[{LETTERS}]+").fullmatch
+        self.known: dict[str, int] = {}
+        self.ids, self.used, self.turn, self.bytes = pa.array([], pa.large_binary()), np.zeros(0, np.int64), 0, 0
+
+    def _learn(self, runs: list[str]) -> pa.Array:
+        found, other = [b""] * len(runs), []
+        for place, run in enumerate(runs):
+            if self.letters(run):  # one token run, normal but for its case: only the merges are left to do
+                tokens = self.model.tokenize(run.lower().translate(self.as_bytes))
+                found[place] = array("I", [t.id for t in tokens]).tobytes()
             else:
-                other.append(run)
-        for run, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.known[run] = array("I", found.ids).tobytes()
-
-    def _ids(self, runs: list[str]) -> list[bytes]:
-        """Ids of different runs. Two generations are remembered: when the young one is full it becomes the old one, and what
-        is asked for again moves on, so frequent runs stay."""
-        if len(self.known) > CACHE_RUNS // 2:
-            self.known, self.old = {}, self.known
-        missing = []
-        for run in runs:
-            if run not in self.known:
-                if run in self.old:
-                    self.known[run] = self.old[run]
-                else:
-                    missing.append(run)
-        self._learn(missing)
-        return [self.known[r] for r in runs]
+                other.append(place)
+        for at in range(0, len(other), LEARN_RUNS):
+            some = other[at : at + LEARN_RUNS]
+            encoded = self.tokenizer.encode_batch_fast([runs[p] for p in some], add_special_tokens=False)
+            for place, one in zip(some, encoded, strict=True):
+                found[place] = array("I", one.ids).tobytes()
+        return pa.array(found, pa.large_binary())
+
+    def _forget(self) -> None:
+        """Beyond CACHE_BYTES, the half of the runs that was used last stays, so frequent runs do; none, if few long ones fill it."""
+        import numpy as np
+
+        if self.bytes + self.ids.nbytes > CACHE_BYTES:
+            kept = np.sort(np.argsort(-self.used, kind="stable")[: len(self.used) // 2])
+            runs = list(self.known)  # in the order of their places
+            self._keep([runs[place] for place in kept.tolist()], kept)
+            if self.bytes + self.ids.nbytes > CACHE_BYTES:
+                self._keep([], kept[:0])
+
+    def _keep(self, runs: list[str], places) -> None:
+        self.ids, self.used = self.ids.take(pa.array(places)), self.used[places]
+        self.known = dict(zip(runs, range(len(runs)), strict=True))
+        self.bytes = _size(runs)
+
+    def _places(self, runs: list[str]):
+        """The places of different runs."""
+        import numpy as np
+
+        self._forget()
+        known = self.known
+        places = np.fromiter((known.get(run, -1) for run in runs), np.int64, len(runs))
+        new = np.flatnonzero(places < 0)
+        learnt = [runs[i] for i in new.tolist()]
+        ids = pa.concat_arrays([self.ids, self._learn(learnt)])
+        places[new] = np.arange(len(self.ids), len(ids))
+        known.update(zip(learnt, range(len(self.ids), len(ids)), strict=True))
+        self.ids, self.used, self.bytes = ids, np.append(self.used, np.zeros(len(new), np.int64)), self.bytes + _size(learnt)
+        self.turn += 1
+        self.used[places] = self.turn
+        return places
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; NULL has none."""
@@ -81,16 +116,15 @@ class WordEncoder:
 
         runs, first_run = part(texts)
         coded = runs.dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        first = np.cumsum(size) - size
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        sizes = size[at]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        picked = flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], sizes)].tobytes()
-        bounds = (4 * ends[first_run]).tolist()
-        return [picked[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        places = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        picked = self.ids.take(pa.array(places[coded.indices.to_numpy(zero_copy_only=False)]))
+        bounds = np.frombuffer(picked.buffers()[1], np.int64)[first_run].tolist()
+        data = memoryview(picked.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def _size(runs: list[str]) -> int:
+    return sum(map(sys.getsizeof, runs)) + RUN_BYTES * len(runs)
 
 
 def part(texts: pa.Array):
