@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gridledger.llm import jaccard, langid, mixing, packing, pii, quality, sharding
+from gridledger.llm import jaccard, langid, mixing, packing, pii, quality, sharding, textkeys
 from gridledger.llm.queries import word_tokenizer
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -147,6 +148,49 @@ def test_mixing_odd_rows(odd):
     assert taken[4] == copies[4] and taken[1] == 2 * copies[1]
 
 
+def test_large_group_is_joined_without_all_its_tile_pairs(spark, monkeypatch):
+    """A group of copies costs in proportion to its size; what its tiles leave apart is compared in full."""
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+
+    def vary(words, k):
+        words = list(words)
+        for _ in range(k):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    copies = [vary(base, 1) for _ in range(320)]
+    apart = [vary(base, rng.choice([4, 6, 8, 12])) for _ in range(60)] + [" ".join(base[: rng.randrange(60, 200)]) for _ in range(30)]
+    others = [vary(base[:100] + [f"z{i}" for i in range(100)], rng.choice([0, 2, 4, 9])) for _ in range(60)]
+    dealt, found = [], jaccard._found
+
+    def counted(placed, *rest):
+        dealt.append(placed.selectExpr("coalesce(sum(size(every)), 0)").first()[0])
+        return found(placed, *rest)
+
+    monkeypatch.setattr(jaccard, "_found", counted)
+    for texts, most in ((copies, 4 * len(copies)), (copies + apart + others, None)):
+        del dealt[:]
+        sets = [set(s.tolist()) for s in textkeys.shingle_sets(pa.array(texts), 4)]
+        least = list(range(len(texts)))
+
+        def root(x):
+            while least[x] != x:
+                x = least[x]
+            return x
+
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                    x, y = sorted((root(i), root(j)))
+                    least[y] = x
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert {r.doc_id: r.component_id for r in jaccard.classes(rows).collect()} == {i: root(i) for i in range(len(texts))}
+        assert most is None or sum(dealt) <= most  # all tile pairs: 20 or more rows for each of 320 documents
+        assert most or len(dealt) == 2
+
+
 def luhn(number):
     digits = [int(c) for c in reversed(re.sub(r"\D", "", number))]
     return sum(digits[::2] + [sum(divmod(2 * d, 10)) for d in digits[1::2]]) % 10 == 0
