@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridledger.llm import jaccard, langid, mixing, packing, pii, quality, sharding, textkeys
 from gridledger.llm.queries import word_tokenizer
 
@@ -191,6 +192,23 @@ def test_large_group_is_joined_without_all_its_tile_pairs(spark, monkeypatch):
         assert most or len(dealt) == 2
 
 
+def test_pipeline_keeps_one_of_a_large_group(spark, monkeypatch):
+    """The pipeline's near copies take the same way as op3: rows dealt to tile pairs grow with the group, not with its square."""
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    rng, dealt, found = random.Random(6), [], jaccard._found
+
+    def counted(placed, *rest):
+        dealt.append(placed.selectExpr("coalesce(sum(size(every)), 0)").first()[0])
+        return found(placed, *rest)
+
+    monkeypatch.setattr(jaccard, "_found", counted)
+    base = [f"w{i}" for i in range(200)]
+    copies = [" ".join([*base[:k], f"x{i}", *base[k + 1 :]]) for i, k in enumerate(rng.choices(range(200), k=320))]
+    rows = spark.createDataFrame([*enumerate(copies), (400, "something else that is in no other text"), (401, None)], "doc_id long, text string")
+    kept = corpus_pipeline.near_copies(spark, rows, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 400, 401] and sum(dealt) <= 4 * len(copies)
+
+
 def luhn(number):
     digits = [int(c) for c in reversed(re.sub(r"\D", "", number))]
     return sum(digits[::2] + [sum(divmod(2 * d, 10)) for d in digits[1::2]]) % 10 == 0
